@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
-_MODULES = ["scans", "scalars", "relational", "ranked"]
+_MODULES = ["scans", "scalars", "relational", "ranked", "texts"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

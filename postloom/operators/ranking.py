@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import GROUP_ROWS, W_ENGAGEMENT_RANK, W_PROBABILITY_RANK
 from ..functions import numbers
+from ..session import cut
 
 _MAX_SLICES = 512
 
@@ -24,38 +25,39 @@ def value_positions(df: DataFrame, keys: Sequence[str], value: str, group_rows:
     Returns keys, `value`, `n_equal`, `n_above`, `n_total`. Equal values are counted before the shuffle.
     A group of more than `group_rows` rows is split by a few of its own values, so that no window holds
     more than a slice of it; smaller groups have one slice. The split values are picked by
-    hash and only steer the split, they do not change the counts.
+    hash and only steer the split, they do not change the counts. The counts are read several times, so
+    they are made durable once instead of being computed again.
     """
     keys = list(keys)
-    counted = df.groupBy(*keys, value).agg(F.count("*").alias("n_equal"))
-    sizes = counted.groupBy(*keys).agg(F.sum("n_equal").alias("n_total"), F.count("*").alias("n_values"))
-    large = sizes.where(F.col("n_values") > group_rows).select(
-        *keys, F.greatest(F.lit(group_rows), F.floor(F.col("n_values") / _MAX_SLICES)).alias("every")
+    counted = cut(df.groupBy(*keys, value).agg(F.count("*").alias("n_equal")))
+    sizes = counted.groupBy(*keys).agg(F.sum("n_equal").alias("n_total"), F.count("*").alias("_n_values"))
+    large = sizes.where(F.col("_n_values") > group_rows).select(
+        *keys, F.greatest(F.lit(group_rows), F.floor(F.col("_n_values") / _MAX_SLICES)).alias("_every")
     )
     splits = (
         counted.join(large, keys)
-        .where(F.pmod(F.xxhash64(value), F.col("every")) == 0)
-        .groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("splits"))
+        .where(F.pmod(F.xxhash64(value), F.col("_every")) == 0)
+        .groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("_splits"))
     )
-    no_splits = F.array().cast(splits.schema["splits"].dataType)
+    no_splits = F.array().cast(splits.schema["_splits"].dataType)
     sliced = (
         counted.join(splits, keys, "left")
-        .withColumn("splits", F.coalesce("splits", no_splits))
-        .withColumn("slice", F.size(F.filter("splits", lambda s: s > F.col(value))))
-        .drop("splits")
+        .withColumn("_splits", F.coalesce("_splits", no_splits))
+        .withColumn("_slice", F.size(F.filter("_splits", lambda s: s > F.col(value))))
+        .drop("_splits")
     )
-    above = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy(*keys, "slice").agg(F.sum("n_equal").alias("n_slice"))
-        .withColumn("offset", F.coalesce(F.sum("n_slice").over(above), F.lit(0)))
-        .drop("n_slice")
+        sliced.groupBy(*keys, "_slice").agg(F.sum("n_equal").alias("_n_slice"))
+        .withColumn("_offset", F.coalesce(F.sum("_n_slice").over(above), F.lit(0)))
+        .drop("_n_slice")
     )
-    inside = Window.partitionBy(*keys, "slice").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        sliced.withColumn("before", F.coalesce(F.sum("n_equal").over(inside), F.lit(0)))
-        .join(offsets, [*keys, "slice"])
-        .join(sizes.drop("n_values"), keys)
-        .select(*keys, value, "n_equal", (F.col("before") + F.col("offset")).alias("n_above"), "n_total")
+        sliced.withColumn("_before", F.coalesce(F.sum("n_equal").over(inside), F.lit(0)))
+        .join(offsets, [*keys, "_slice"])
+        .join(sizes.drop("_n_values"), keys)
+        .select(*keys, value, "n_equal", (F.col("_before") + F.col("_offset")).alias("n_above"), "n_total")
     )
 
 
