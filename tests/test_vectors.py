@@ -66,3 +66,37 @@ def test_components(spark):
     want = {n: find(n) for n in root if any(n in e[1:] and e[1] != e[2] for e in edges)}
     assert dict(zip(got["id"], got["component"])) == want
     assert got["id"].is_unique
+
+
+@pytest.mark.parametrize("block_rows", [1000, 40])
+def test_spanning_tree(spark, block_rows):
+    from helpers import prim_weights
+    from postloom.operators import spanning
+
+    x, _ = blobs(copies=0)
+    points = blocks.prepare(frame(spark, x), ["slice"], "id", "vector", "euclidean")
+    blocked = blocks.split_into_blocks(blocks.collapse_copies(points, ["slice"]).distinct, ["slice"], block_rows)
+    core = neighbours.core_distances(blocked, 5).cache()
+    got = spanning.spanning_tree(blocked, core).toPandas()
+    d = distance_matrix(x)
+    c = np.sort(d, 1)[:, 5]
+    want = prim_weights(np.maximum(d, np.maximum(c[:, None], c[None, :])))
+    assert len(got) == len(x) - 1
+    assert np.allclose(np.sort(got["weight"]), want, atol=1e-6)
+
+
+@pytest.mark.parametrize("seed,spread,block_rows", [(0, 0.25, 1000), (3, 1.2, 1000), (3, 1.2, 40)])
+@pytest.mark.parametrize("method", ["eom", "leaf"])
+def test_hdbscan(spark, seed, spread, block_rows, method):
+    from helpers import brute_hdbscan, same_partition
+    from postloom.operators.hdbscan import hdbscan
+
+    x, _ = blobs(seed=seed, spread=spread)
+    got = hdbscan(frame(spark, x, ("a", "b")), ["slice"], "id", "vector", 6, 3, method, block_rows=block_rows).toPandas()
+    label, prob = brute_hdbscan(x, 6, 3, method)
+    assert len(set(label)) > 2
+    for _, part in got.groupby("slice"):
+        part = part.sort_values("id")
+        assert same_partition(part["cluster"].tolist(), label.tolist())
+        assert np.allclose(part["probability"], prob, atol=1e-6)
+        assert (part[part["cluster"] == -1]["probability"] == 0).all()
