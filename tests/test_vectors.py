@@ -100,3 +100,150 @@ def test_hdbscan(spark, seed, spread, block_rows, method):
         assert same_partition(part["cluster"].tolist(), label.tolist())
         assert np.allclose(part["probability"], prob, atol=1e-6)
         assert (part[part["cluster"] == -1]["probability"] == 0).all()
+
+
+def brute_metrics(x, y):
+    d = distance_matrix(x)
+    labels = np.unique(y)
+    sil = []
+    for i in range(len(x)):
+        same = (y == y[i]) & (np.arange(len(x)) != i)
+        if not same.any():
+            sil.append(0.0)
+            continue
+        a, b = d[i, same].mean(), min(d[i, y == c].mean() for c in labels if c != y[i])
+        sil.append((b - a) / max(a, b))
+    c = np.array([x[y == k].mean(0) for k in labels])
+    n = np.array([(y == k).sum() for k in labels])
+    w = sum(((x[y == k] - c[i]) ** 2).sum() for i, k in enumerate(labels))
+    ch = ((n[:, None] * (c - x.mean(0)) ** 2).sum() / (len(c) - 1)) / (w / (len(x) - len(c)))
+    s = np.array([np.sqrt(((x[y == k] - c[i]) ** 2).sum(1)).mean() for i, k in enumerate(labels)])
+    m = distance_matrix(c)
+    np.fill_diagonal(m, np.inf)
+    return np.mean(sil), ch, ((s[:, None] + s[None, :]) / m).max(1).mean()
+
+
+@pytest.mark.parametrize("block_rows", [1000, 30])
+def test_metrics(spark, block_rows):
+    from postloom.operators import metrics
+
+    x, y = blobs(spread=1.5)
+    rows = [("a", i, [float(v) for v in r], int(c), int(c) // 2) for i, (r, c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "slice string, id bigint, vector array<double>, cluster int, truth int")
+    got = metrics.evaluate(df, ["slice"], "id", "vector", "truth", block_rows=block_rows).first()
+    sil, ch, db = brute_metrics(x[y >= 0], y[y >= 0])
+    assert abs(got["silhouette"] - sil) < 1e-4 and abs(got["calinski_harabasz"] - ch) < 1e-2
+    assert abs(got["davies_bouldin"] - db) < 1e-4
+    assert got["n_clusters"] == 4 and got["noise"] == 10
+    assert 0.4 < got["ari"] < 0.7 and 0.5 < got["nmi"] < 0.8
+
+
+def test_reduction(spark):
+    from postloom.operators import reduction
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(80, 30)) @ rng.normal(size=(30, 30))
+    got = reduction.reduce_slices(frame(spark, x, ("a", "b")), ["slice"], "id", "vector", 5).toPandas()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    u = u - u.mean(0)
+    top = np.linalg.svd(u, full_matrices=False)
+    want = np.abs(u @ top[2][:5].T)
+    for _, part in got.groupby("slice"):
+        assert np.allclose(np.abs(np.stack(part.sort_values("id")["vector"])), want, atol=1e-8)
+    small = reduction.reduce_slices(frame(spark, x[:, :8]), ["slice"], "id", "vector", 5).toPandas()
+    assert len(small["vector"].iloc[0]) == 8
+    p = reduction.pca(frame(spark, x), "id", "vector", 3)
+    c = x - x.mean(0)
+    s = np.linalg.svd(c, full_matrices=False)
+    assert np.allclose(np.abs(np.stack(p.rows.toPandas().sort_values("id")["vector"])), np.abs(c @ s[2][:3].T), atol=1e-6)
+    assert np.allclose(p.explained, (s[1] ** 2 / (s[1] ** 2).sum())[:3])
+
+
+def test_truncated_svd(spark):
+    from postloom.operators import reduction
+
+    rng = np.random.default_rng(2)
+    a = np.abs(rng.normal(size=(60, 25))) * (rng.random((60, 25)) < 0.3)
+    a[:, 0] = 1.0
+    rows = [(i, f"t{j:02d}", float(a[i, j])) for i in range(60) for j in range(25) if a[i, j] > 0]
+    got = reduction.truncated_svd(spark.createDataFrame(rows, "id bigint, term string, weight double"), "id", 4, iterations=25)
+    _, _, v = np.linalg.svd(a, full_matrices=False)
+    want = a @ v[:4].T
+    have = np.stack(got.rows.toPandas().sort_values("id")["vector"])
+    assert np.allclose(np.abs(have), np.abs(want), atol=1e-3)
+    assert np.allclose(got.explained, want.var(0) / a.var(0).sum(), atol=1e-4)
+
+
+def brute_agglomerative(x, k, linkage):
+    groups = [[i] for i in range(len(x))]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    while len(groups) > k:
+        n = np.array([len(g) for g in groups])
+        if linkage == "ward":
+            c = np.array([x[g].mean(0) for g in groups])
+            cost = np.sqrt(2 * np.outer(n, n) / (n[:, None] + n[None, :])) * distance_matrix(c)
+        else:
+            c = np.array([u[g].mean(0) for g in groups])
+            cost = 1 - c @ c.T
+        np.fill_diagonal(cost, np.inf)
+        a, b = sorted(np.unravel_index(cost.argmin(), cost.shape))
+        groups[a] += groups.pop(b)
+    label = np.empty(len(x), int)
+    for c, g in enumerate(groups):
+        label[g] = c
+    return label
+
+
+@pytest.mark.parametrize("linkage", ["ward", "average"])
+@pytest.mark.parametrize("block_rows", [1000, 50])
+def test_agglomerative(spark, linkage, block_rows):
+    from helpers import same_partition
+    from postloom.operators.agglomerative import agglomerative
+
+    x, _ = blobs(spread=2.0)
+    got = agglomerative(frame(spark, x, ("a", "b")), ["slice"], "id", "vector", 5, linkage, block_rows).toPandas()
+    want = brute_agglomerative(x, 5, linkage)
+    for _, part in got.groupby("slice"):
+        assert same_partition(part.sort_values("id")["cluster"].tolist(), want.tolist())
+
+
+def test_methods_find_blobs(spark):
+    from postloom.operators import centroid_models, metrics
+
+    x, y = blobs(noise=0, copies=0)
+    rows = [(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "id bigint, vector array<double>, truth int")
+    km, inertia = centroid_models.kmeans(df, "id", "vector", 4)
+    gm = centroid_models.gaussian_mixture(df, "id", "vector", 4)
+    want = sum(((x[y == c] - x[y == c].mean(0)) ** 2).sum() for c in range(4))
+    assert abs(inertia - want) < 1e-6 * want
+    for labels in (km, gm):
+        assert metrics.adjusted_rand(labels.join(df, "id"), [], "truth").first()["ari"] > 0.99
+    sweep = centroid_models.k_sweep(df, "id", "vector", range(2, 6), starts=3).cache()
+    assert sweep.count() == 4
+    assert centroid_models.best_k(sweep).first()["best_by_silhouette"] == 4
+
+
+def test_grid_and_comparison(spark):
+    from postloom.operators.hdbscan import hdbscan
+    from postloom.plans import experiments
+
+    x, y = blobs(dim=24, spread=0.8)
+    rows = [(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "id bigint, vector array<double>, truth int")
+    grid = {"n_components": [3, 5], "min_cluster_size": [5, 8], "min_samples": [3, 5], "selection": ["eom", "leaf"]}
+    found = experiments.grid_search(df, "id", "vector", "truth", grid)
+    scored = experiments.best_settings(experiments.with_composite(found)).toPandas()
+    assert 8 <= len(scored) <= 15 and scored["composite"].between(0, 1.0001).all()
+    assert scored["ari"].max() > 0.9
+    table = experiments.compare_methods(df, "id", "vector", 4, "truth").toPandas()
+    assert table["algorithm"].tolist() == experiments.METHODS
+    assert (table["silhouette"] > 0.3).all() and (table["ari"] > 0.5).all()
+    # A cell of the grid is the clustering that a single run gives.
+    from postloom.operators.reduction import reduce_slices
+    from pyspark.sql import functions as F
+
+    reduced = reduce_slices(df.withColumn("_all", F.lit(0)), ["_all"], "id", "vector", 3, 0)
+    one = hdbscan(reduced, ["_all"], "id", "vector", 8, 5, "leaf").where("cluster >= 0").agg(F.countDistinct("cluster")).first()[0]
+    cell = found.where("n_components = 3 AND min_cluster_size = 8 AND min_samples = 5 AND selection = 'leaf'").first()
+    assert cell["n_clusters"] == one
