@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame, keys: Sequence[str], max_rounds: int
     """Smallest id of the component of every node that has an edge: keys, id, component.
 
     `edges` has keys, u, v. Large-star and small-star rounds (Kiveris et al., 2014) until nothing changes;
-    each ends in a checkpoint. A star centre with very many leaves is one key of a join, which
+    each ends in a written table. A star centre with very many leaves is one key of a join, which
     adaptive execution splits; its minimum is combined on the map side.
     """
     keys = list(keys)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,9 +29,23 @@ def local_session(cpus: int | str = "*", app: str = "postloom", **conf: str) ->
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     return session
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, as `--py-files` would, once per Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_postloom_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="postloom-ship-"), "postloom"), "zip", os.path.dirname(here), "postloom"
+    )
+    context.addPyFile(archive)
+    context._postloom_shipped = True
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`.
 
@@ -48,18 +63,26 @@ def scratch_root(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="postloom-")
 
 
-def prepare_checkpoints(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_root(spark))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, which outlives the executor that wrote it."""
-    prepare_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _work_folder(spark: SparkSession) -> str:
+    """One folder per Spark context below the shared folder."""
+    context = spark.sparkContext
+    if getattr(context, "_postloom_folder", None) is None:
+        context._postloom_folder = f"{scratch_root(spark).rstrip('/')}/postloom-{uuid.uuid4().hex}"
+    return context._postloom_folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, for tables written and read again."""
-    prepare_checkpoints(spark)
-    return os.path.join(spark.sparkContext.getCheckpointDir(), f"{name}-{uuid.uuid4().hex}")
+    return f"{_work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage: write the rows to the shared folder and read them back.
+
+    The files outlive the executors that wrote them. Unlike a checkpoint the rows are computed once, and the
+    next plan starts from a scan with a known size and without the constraints of the plan before, which
+    pile up over the rounds of a loop.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
