@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
-_MODULES = ["scans", "scalars", "relational", "ranked", "texts", "reports"]
+_MODULES = ["scans", "scalars", "relational", "ranked", "texts", "vectors", "clusterings", "reports", "streams"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

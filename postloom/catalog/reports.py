@@ -134,8 +134,7 @@ def result_documents(spark, sf):
     """Results as nested JSON documents, written and read back."""
     path = scratch_path(spark, "documents")
     documents = files.result_documents(_results(spark, sf), "2024-02-01 00:00:00", "none")
-    documents.select("document").write.text(path, lineSep="\n\n")
-    # A pretty document spans lines, so each file is read as a whole value.
+    files.write_result_documents(documents, path)
     rows = files.read_result_documents(spark, path)
     return rows.select(*_FACTS.split(", "))
 

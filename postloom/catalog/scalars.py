@@ -136,9 +136,9 @@ def _clean_sql(column: str) -> str:
 SELECT 'document' AS kind, doc_id AS id, {_clean_sql('text')} AS cleaned FROM documents
 UNION ALL SELECT 'page', page_id, {_clean_sql('html')} FROM pages""")
 def clean_text(spark, sf):
-    documents = fx.table(spark, sf, "documents").select(
+    documents = fx.documents(spark, sf).select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), text.clean_text(F.col("text")).alias("cleaned"))
-    pages = fx.table(spark, sf, "pages").select(
+    pages = fx.spread(fx.table(spark, sf, "pages")).select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"), text.clean_text(F.col("html")).alias("cleaned"))
     return documents.unionByName(pages)
 
@@ -159,7 +159,7 @@ def title_and_body(spark, sf):
         .when(F.col("lang") == "fr", F.lit(None)).otherwise("[deleted]")
     )
     joined = text.combine_title_body(text.first_line(F.col("text")), body)
-    return fx.table(spark, sf, "documents").select("doc_id", F.md5(joined).alias("joined"))
+    return fx.documents(spark, sf).select("doc_id", F.md5(joined).alias("joined"))
 
 
 KEYWORD_SQL = f"""[w FOR w IN regexp_split_to_array(lower(text), '{_SPACE}+') IF length(w) > 3 AND regexp_matches(w, '\\A\\p{{L}}+\\z')
@@ -170,7 +170,7 @@ TERM_SQL = f"[w FOR w IN regexp_extract_all(lower(text), '{text.WORD}') IF w NOT
 @query("b15_keyword_tokens", f"SELECT doc_id, array_to_string({KEYWORD_SQL}, ' ') AS tokens FROM documents")
 def keyword_tokens(spark, sf):
     tokens = text.keyword_tokens(F.col("text"), _STOP)
-    return fx.table(spark, sf, "documents").select("doc_id", F.array_join(tokens, " ").alias("tokens"))
+    return fx.documents(spark, sf).select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
 
 @query("b16_term_ngrams", f"""
@@ -180,7 +180,7 @@ SELECT doc_id, CAST(len(terms) AS INTEGER) AS n_terms,
     [terms[i] || ' ' || terms[i + 1] FOR i IN range(1, len(terms))],
     [terms[i] || ' ' || terms[i + 1] || ' ' || terms[i + 2] FOR i IN range(1, len(terms) - 1)]), '|')) AS grams FROM t""")
 def term_ngrams(spark, sf):
-    terms = fx.table(spark, sf, "documents").select("doc_id", text.term_tokens(F.col("text"), _STOP).alias("terms"))
+    terms = fx.documents(spark, sf).select("doc_id", text.term_tokens(F.col("text"), _STOP).alias("terms"))
     return terms.select(
         "doc_id", F.size("terms").alias("n_terms"),
         F.md5(F.array_join(text.ngrams(F.col("terms"), 1, 3), "|")).alias("grams"),
@@ -193,7 +193,7 @@ _CUTS = [120, 100, 140, 150, 80, 512, 300]
 @query("b17_prefix_cuts", "SELECT doc_id, " + ", ".join(f"substr(text, 1, {n}) AS first_{n}" for n in _CUTS) + " FROM documents")
 def prefix_cuts(spark, sf):
     body = F.col("text")
-    return fx.table(spark, sf, "documents").select("doc_id", *[text.cut_to(body, n).alias(f"first_{n}") for n in _CUTS])
+    return fx.documents(spark, sf).select("doc_id", *[text.cut_to(body, n).alias(f"first_{n}") for n in _CUTS])
 
 
 @query("b18_number_formats", S.with_(S.CLEAN) + """

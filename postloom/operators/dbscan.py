@@ -76,6 +76,25 @@ def _link_kernel(eps: float, metric: str) -> blocks.Kernel:
     return kernel
 
 
+def near_counts(
+    df: DataFrame, keys: Sequence[str], id_column: str, vector_column: str, eps: float, metric: str = "cosine",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Range self-join as a count: the points within eps of each point, itself among them: keys, id, near."""
+    keys = list(keys)
+    points = blocks.prepare(df, keys, id_column, vector_column, metric)
+    copies = blocks.collapse_copies(points, keys)
+    counts = _near_counts(blocks.split_into_blocks(copies.distinct, keys, block_rows), eps, metric)
+    return copies.members.join(counts, [*keys, "id"]).select(*keys, F.col("member").alias("id"), "near")
+
+
+def _near_counts(blocked: blocks.Blocked, eps: float, metric: str) -> DataFrame:
+    kind = blocked.points.schema["id"].dataType.simpleString()
+    reach = blocks.euclidean_radius(eps, metric)
+    counts = blocks.run_on_pairs(blocked, _count_kernel(eps, metric), f"id {kind}, near bigint", reach, carry=["copies"])
+    return counts.groupBy(*blocked.keys, "id").agg(F.sum("near").alias("near"))
+
+
 def dbscan(
     df: DataFrame,
     keys: Sequence[str],
@@ -99,8 +118,7 @@ def dbscan(
     kind = points.schema["id"].dataType.simpleString()
     reach = blocks.euclidean_radius(eps, metric)
 
-    counts = blocks.run_on_pairs(blocked, _count_kernel(eps, metric), f"id {kind}, near bigint", reach, carry=["copies"])
-    core = counts.groupBy(*keys, "id").agg((F.sum("near") >= min_points).alias("core"))
+    core = _near_counts(blocked, eps, metric).select(*keys, "id", (F.col("near") >= min_points).alias("core"))
     marked = blocks.Blocked(blocked.points.join(core, [*keys, "id"]), blocked.keys, blocked.pivots, blocked.one_block)
     links = blocks.cut(
         blocks.run_on_pairs(marked, _link_kernel(eps, metric), f"u {kind}, v {kind}, core boolean", reach, carry=["core"])

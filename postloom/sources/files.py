@@ -63,12 +63,6 @@ def posts_of_pages(pages: DataFrame, *carry: str) -> DataFrame:
     )
 
 
-def write_result_document(results: DataFrame, path: str, model: str, generated_at: str) -> None:
-    """Week results as one JSON object per niche and file partition, plus run metadata on every row."""
-    stamped = results.withColumns({"generated_at": F.lit(generated_at), "model": F.lit(model)})
-    stamped.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("niche").json(path)
-
-
 def result_documents(results: DataFrame, generated_at: str, model: str) -> DataFrame:
     """One nested document per niche: `{generated_at, model, niches_processed, results}`.
 
@@ -92,9 +86,14 @@ def result_documents(results: DataFrame, generated_at: str, model: str) -> DataF
     )
 
 
+def write_result_documents(documents: DataFrame, path: str) -> None:
+    """One file per niche: a pretty document spans lines, so a file must hold a single one."""
+    documents.select("niche", "document").write.mode("overwrite").partitionBy("niche").text(path)
+
+
 def read_result_documents(spark: SparkSession, path: str) -> DataFrame:
     """Week results of nested documents, one row per niche and week; no file gives no rows."""
-    reader = spark.read.schema(schemas.RESULT_DOCUMENT).option("multiLine", "true")
+    reader = spark.read.schema(schemas.RESULT_DOCUMENT).option("multiLine", "true").option("recursiveFileLookup", "true")
     try:
         documents = reader.json(path)
     except AnalysisException as e:
