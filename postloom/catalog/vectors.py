@@ -206,7 +206,7 @@ def _letter_model():
 
 
 @query("j1_model_vectors", "SELECT doc_id, " + ", ".join(
-    f"round((length(text) - length(replace(text, '{c}', ''))) / (len(regexp_extract_all(text, '[a-z]')) + 0.0) + 1e-9, 4) AS share_{c}" for c in "aez"
+    f"round(CAST(CAST((length(text) - length(replace(text, '{c}', ''))) / (len(regexp_extract_all(text, '[a-z]')) + 0.0) AS FLOAT) AS DOUBLE) + 1e-9, 4) AS share_{c}" for c in "aez"
 ) + " FROM documents WHERE regexp_matches(text, '[a-z]')")
 def model_vectors(spark, sf):
     """Vectors by a plugged-in model, loaded once per worker."""

@@ -22,6 +22,10 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return (df, list(keys)) if keys else (df.withColumn("_all", F.lit(0)), ["_all"])
 
 
+def _unkeyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df if keys else df.drop("_all")
+
+
 def clustered_points(df: DataFrame, keys: Sequence[str], id_column: str, vector_column: str, metric: str) -> DataFrame:
     points = df.where(F.col("cluster") != NOISE)
     v = F.col(vector_column)
@@ -71,6 +75,7 @@ def silhouette_samples(
     Mean distances need every pair of points; blocks keep the pairs out of the shuffle. `sample` measures a
     seeded sample of that many points per key instead, as is usual for large sets.
     """
+    given = keys
     points, keys = _keyed(clustered_points(df, keys, id_column, vector_column, metric), keys)
     if sample:
         points = top_rows(points, keys, [F.xxhash64("id", F.lit(seed)), F.asc("id")], sample, "_r").drop("_r")
@@ -91,7 +96,7 @@ def silhouette_samples(
     )
     value = F.when(F.col("n") > 1, F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
     out = per_point.select(*keys, "id", "cluster", value.otherwise(F.lit(0.0)).alias("silhouette"))
-    return out.drop("_all")
+    return _unkeyed(out, given)
 
 
 def silhouette(df: DataFrame, keys: Sequence[str], id_column: str, vector_column: str, **options) -> DataFrame:
@@ -110,7 +115,7 @@ def _spreads(points: DataFrame, centres: DataFrame, keys: Sequence[str]) -> Data
 def calinski_harabasz(df: DataFrame, keys: Sequence[str], id_column: str, vector_column: str) -> DataFrame:
     """Spread between clusters over spread inside clusters, each per degree of freedom."""
     points, k = _keyed(clustered_points(df, keys, id_column, vector_column, "euclidean"), keys)
-    return _calinski_harabasz(points, centroids(points, k), k).drop("_all")
+    return _unkeyed(_calinski_harabasz(points, centroids(points, k), k), keys)
 
 
 def _calinski_harabasz(points: DataFrame, centres: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -144,7 +149,7 @@ def _worst_ratio(left, right, key):
 def davies_bouldin(df: DataFrame, keys: Sequence[str], id_column: str, vector_column: str) -> DataFrame:
     """Mean over clusters of the worst ratio of spreads to the distance of centroids."""
     points, k = _keyed(clustered_points(df, keys, id_column, vector_column, "euclidean"), keys)
-    return _davies_bouldin(points, centroids(points, k), k).drop("_all")
+    return _unkeyed(_davies_bouldin(points, centroids(points, k), k), keys)
 
 
 def _davies_bouldin(points: DataFrame, centres: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -182,7 +187,7 @@ def adjusted_rand(df: DataFrame, keys: Sequence[str], truth: str) -> DataFrame:
     value = F.when((fp == 0) & (fn == 0), F.lit(1.0)).otherwise(
         2.0 * (tp * tn - fn * fp) / ((tp + fn) * (fn + tn) + (tp + fp) * (fp + tn))
     )
-    return squares.select(*k, value.alias("ari")).drop("_all")
+    return _unkeyed(squares.select(*k, value.alias("ari")), keys)
 
 
 def normalised_mutual_information(df: DataFrame, keys: Sequence[str], truth: str) -> DataFrame:
@@ -206,7 +211,7 @@ def normalised_mutual_information(df: DataFrame, keys: Sequence[str], truth: str
     value = F.when((F.col("_h1_k") == 1) & (F.col("_h2_k") == 1), F.lit(1.0)).otherwise(
         F.coalesce(F.try_divide(F.greatest(F.col("_mi"), F.lit(0.0)), (F.col("_h1") + F.col("_h2")) / 2), F.lit(0.0))
     )
-    return joined.select(*k, value.alias("nmi")).drop("_all")
+    return _unkeyed(joined.select(*k, value.alias("nmi")), keys)
 
 
 # All together ----------------------------------------------------------------------------------------
