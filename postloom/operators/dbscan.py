@@ -145,6 +145,6 @@ def dbscan(
 
 def number_components(roots: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Numbers 0..n-1 of the components of each slice in the order of their ids: keys, component, cluster."""
-    keyed = roots.select(*keys, "component").distinct().withColumn("_all", F.lit(0))
-    at = value_positions(keyed, [*keys, "_all"], "component")
+    keyed = roots.select(*keys, "component").distinct().withColumn("_one", F.lit(0))
+    at = value_positions(keyed, [*keys, "_one"], "component")
     return at.select(*keys, "component", (F.col("n_total") - F.col("n_above") - 1).cast("int").alias("cluster"))

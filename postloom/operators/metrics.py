@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import BLOCK_ROWS
 from ..functions import numbers, vectors
+from ..session import cut
 from . import blocks
 from .aggregates import NOISE, noise_summary
 from .ranking import top_rows
@@ -224,6 +225,7 @@ def evaluate(
     rows, k = _keyed(df, keys)
     counts = noise_summary(rows, *k).where(F.col("n_clusters") >= 2).drop("clustered")
     points = clustered_points(rows, k, id_column, vector_column, "euclidean").join(counts.select(*k), k, "left_semi")
+    points = cut(points)  # read by every metric
     centres = centroids(points, k)
     measured = [
         silhouette(points, k, "id", "vector", sample=sample, block_rows=block_rows),
