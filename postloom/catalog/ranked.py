@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import GROUP_ROWS
 from ..operators import aggregates as agg, ranking
 from ..sources import fixtures as fx
 from . import _sql as S
@@ -31,9 +32,11 @@ SELECT niche, week_year, week_number, cluster_rank, cluster, importance_score, p
   FROM combined) WHERE position <= 8""")
 def weekly_representative_posts(spark, sf):
     """The top 3 clusters of each niche and week, and the 8 most representative posts of each."""
-    posts = agg.slice_gate(fx.clustered_posts(spark, sf), 20)
-    top = agg.top_clusters(agg.cluster_stats(posts), 3).select(*_KEYS, "importance_score", "cluster_rank")
-    picked = ranking.representative_posts(posts.join(top, _KEYS), _KEYS, 8)
+    posts = fx.clustered_posts(spark, sf)
+    top = agg.top_clusters_of_large_slices(posts, 3, 20)
+    largest = top.agg(F.max("post_count")).first()[0] or 0
+    mine = posts.join(top.select(*_KEYS, "importance_score", "cluster_rank"), _KEYS)
+    picked = ranking.representative_posts(mine, _KEYS, 8, large=largest > GROUP_ROWS)
     return picked.select(
         *agg.SLICE, "cluster_rank", "cluster", "importance_score", "position", "post_id", "score", "combined_rank",
         stamp("timestamp_utc"),

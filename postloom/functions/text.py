@@ -94,15 +94,15 @@ def term_tokens(text: Column, stop_words: Sequence[str]) -> Column:
 
 
 def ngrams(tokens: Column, low: int, high: int) -> Column:
-    """All runs of `low` to `high` tokens, joined by a blank; tokens must be stop-word free already."""
-    def runs(n: int) -> Column:
-        last = F.size(tokens) - (n - 1)
-        return F.when(
-            last >= 1,
-            F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(tokens, i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
-
-    parts = [tokens if n == 1 else runs(n) for n in range(low, high + 1)]
+    """All runs of `low` to `high` tokens, joined by a blank; tokens must be stop-word free already. Longer runs
+    are shorter ones zipped with the tokens that follow."""
+    runs = {1: tokens}
+    for n in range(2, high + 1):
+        count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+        runs[n] = F.zip_with(
+            F.slice(runs[n - 1], 1, count), F.slice(tokens, n, count), lambda head, word: F.concat(head, F.lit(" "), word)
+        )
+    parts = [runs[n] for n in range(low, high + 1)]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 

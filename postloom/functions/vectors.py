@@ -28,9 +28,11 @@ def cosine_similarity(a: Column, b: Column) -> Column:
 
 
 def l2_normalised(v: Column) -> Column:
-    """Unit vector; a zero vector stays zero."""
-    n = norm(v)
-    return F.when(n > 0, F.transform(as_double(v), lambda x: x / n)).otherwise(as_double(v))
+    """Unit vector; a zero vector stays zero. The length is taken once per vector: inside a lambda it would be
+    taken again for every element."""
+    length = norm(v)
+    scale = F.array_repeat(F.when(length > 0, F.lit(1.0) / length).otherwise(F.lit(1.0)), F.size(v))
+    return F.zip_with(as_double(v), scale, lambda x, s: x * s)
 
 
 def squared_distance(a: Column, b: Column) -> Column:

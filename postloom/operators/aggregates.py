@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import W_COMMENTS, W_SCORE, W_UPVOTE
 from ..functions import dates, numbers
+from ..session import cut
 from .ranking import group_median, top_rows, value_positions
 
 SLICE = ["niche", "week_year", "week_number"]
@@ -76,6 +77,15 @@ def top_clusters(stats: DataFrame, n: int, keys: Sequence[str] = SLICE) -> DataF
     return top_rows(stats, keys, [F.desc("importance_score"), F.asc("cluster")], n, "cluster_rank")
 
 
+def top_clusters_of_large_slices(posts: DataFrame, n: int, min_posts: int) -> DataFrame:
+    """Slice gate, scores and top clusters from one pass over the posts: slice sizes are the sums of the
+    cluster sizes, noise included, so the gate works on the small table of clusters."""
+    stats = cut(cluster_stats(posts, keep_noise=True))
+    gate = stats.groupBy(*SLICE).agg(F.sum("post_count").alias("_n")).where(F.col("_n") >= min_posts)
+    kept = stats.where(F.col("cluster") != NOISE).join(gate, SLICE, "left_semi")
+    return cut(top_clusters(kept, n))
+
+
 def largest_clusters(df: DataFrame, n: int) -> DataFrame:
     """The `n` largest clusters without noise: cluster, posts."""
     sizes = count_by(df.where(F.col("cluster") != NOISE), "cluster")

@@ -26,7 +26,7 @@ def clustered_posts(posts: DataFrame, embeddings: DataFrame, settings: Settings
     `posts` has the slice key; posts without a vector are left out.
     """
     joined = posts.join(embeddings.select("post_id", "embedding"), "post_id")
-    gated = agg.slice_gate(joined, settings.min_slice_posts)
+    gated = cut(agg.slice_gate(joined, settings.min_slice_posts))  # the joins are done once, it is read several times
     reduced = cut(reduce_slices(gated, SLICE, "post_id", "embedding", settings.reduce_components, settings.reduce_above_dim))
     labels = hdbscan(reduced, SLICE, "id", "vector", settings.min_cluster_size, settings.min_samples)
     return gated.drop("embedding").join(labels.withColumnRenamed("id", "post_id"), [*SLICE, "post_id"])
