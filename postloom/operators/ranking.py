@@ -73,7 +73,7 @@ def add_min_rank(
     if not large:
         return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(F.desc(value))).cast("bigint"))
     ranks = value_positions(df, keys, value, group_rows).select(*keys, value, (F.col("n_above") + 1).alias(name))
-    return df.join(ranks, [*keys, value])
+    return df.join(ranks, [*keys, value]).select(*df.columns, name)
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
