@@ -15,7 +15,9 @@ from .scans import _landed_listings
 
 def _run(spark, stream):
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
-    jobs.write_available(stream, out, checkpoint).awaitTermination()
+    context = spark.sparkContext
+    partitions = context.defaultParallelism if context.master.startswith("local") else None
+    jobs.write_available(stream, out, checkpoint, partitions).awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 

@@ -41,9 +41,20 @@ def weekly_volume(posts: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what has landed and stop; a later run goes on from the checkpoint. Files are written exactly once."""
-    return (
-        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+def write_available(stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> StreamingQuery:
+    """Process what has landed and stop; a later run goes on from the checkpoint. Files are written exactly once.
+
+    State has as many partitions as the session shuffles into when a checkpoint is first used, and keeps them;
+    `state_partitions` names another number for this stream, since state is not coalesced at run time.
+    """
+    session = stream.sparkSession
+    before = session.conf.get("spark.sql.shuffle.partitions")
+    try:
+        if state_partitions:
+            session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        return (
+            stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start()
+        )
+    finally:
+        session.conf.set("spark.sql.shuffle.partitions", before)
