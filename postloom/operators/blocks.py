@@ -134,11 +134,10 @@ def split_into_blocks(points: DataFrame, keys: Sequence[str], block_rows: int =
     return Blocked(blocked, keys, arrays, False)
 
 
-def _cell_pairs(blocked: Blocked, reach: DataFrame | float) -> DataFrame | None:
+def _cell_pairs(blocked: Blocked, reach: DataFrame | float) -> DataFrame:
     """Pairs of cells that may hold two points within reach: keys, cell, other_cell. `reach` is one radius, or
-    a radius per cell (keys, cell, reach). Cells are at most `MAX_PIVOTS` in all large slices together."""
-    if not blocked.pivots:
-        return None
+    a radius per cell (keys, cell, reach). A slice without a pivot is one cell; large slices have at most
+    `MAX_PIVOTS` cells together."""
     spread = blocked.points.groupBy(*blocked.keys, "cell").agg(F.max("radius").alias("radius"))
     if isinstance(reach, DataFrame):
         spread = spread.join(reach, [*blocked.keys, "cell"], "left")
