@@ -230,8 +230,8 @@ def test_grid_and_comparison(spark):
     x, y = blobs(dim=24, spread=0.8)
     rows = [(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, y))]
     df = spark.createDataFrame(rows, "id bigint, vector array<double>, truth int")
-    grid = {"n_components": [3, 5], "min_cluster_size": [5, 8], "min_samples": [3, 5], "selection": ["eom", "leaf"]}
-    found = experiments.grid_search(df, "id", "vector", "truth", grid)
+    grid = {"n_components": [3, 5], "min_cluster_size": [5, 8], "min_samples": [5, 7], "selection": ["eom", "leaf"]}
+    found = experiments.grid_search(df, "id", "vector", "truth", grid).cache()
     scored = experiments.best_settings(experiments.with_composite(found)).toPandas()
     assert 8 <= len(scored) <= 15 and scored["composite"].between(0, 1.0001).all()
     assert scored["ari"].max() > 0.9
