@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing
+from . import bpe, chat, packing, superkmers
 
 #: Vocabulary file of the two queries on tokens, a file of the installed package of public vocabularies.
 VOCABULARY = "word_bpe_49k.json"
@@ -31,6 +31,10 @@ def op2_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.lit("\\### Assistant: </turn> ok")
     own = spark.range(2).select(
@@ -42,7 +46,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_bpe_tokens, op6_chat_formatting)
+    f.__name__: f for f in (op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op6_chat_formatting)
 }
 
 #: Lengths of the marks: head, gap after the role, between texts, after the block.
@@ -65,4 +69,27 @@ SELECT conv_id, count(*) AS n_turns,
 FROM o GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op6_chat_formatting": _CHAT_SQL}
+_SUBSTRING_SQL = r"""
+WITH w AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), x AS (
+    SELECT doc_id, s, array_to_string(ws[s : s + 19], ' ') AS t
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w)
+), r AS (
+    SELECT doc_id, s FROM x QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id, s) > 1
+), c AS (
+    SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS i FROM r
+), k AS (
+    SELECT a.doc_id, a.i, a.word, c.i IS NULL AS stays
+    FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w) a
+    LEFT JOIN c ON a.doc_id = c.doc_id AND a.i = c.i
+)
+SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(g.n_removed, 0)::BIGINT AS n_removed,
+    sha256(coalesce(g.kept, '')) AS kept_sha256
+FROM w LEFT JOIN (
+    SELECT doc_id, count(*) FILTER (NOT stays) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (stays) AS kept
+    FROM k GROUP BY doc_id
+) g ON w.doc_id = g.doc_id
+"""
+
+SQL: dict[str, str] = {"op3_substring_dedup": _SUBSTRING_SQL, "op6_chat_formatting": _CHAT_SQL}
