@@ -10,27 +10,26 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 
-def connected_components(edges: DataFrame, keys: Sequence[str], max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Smallest id of the component of every node that has an edge: keys, id, component.
 
     `edges` has keys, u, v. Large-star and small-star rounds (Kiveris et al., 2014) until nothing changes;
-    each ends in a written table. A star centre with very many leaves is one key of a join, which
-    adaptive execution splits; its minimum is combined on the map side.
+    each ends in a written table. The centre of a star may have very many leaves: the smallest
+    neighbours are combined on the map side and written first, so that both sides of the join that
+    brings them back are scans with a shuffle of their own, whose large partitions adaptive execution splits.
     """
     keys = list(keys)
     links = cut(edges.where(F.col("u") != F.col("v")).select(
         *keys, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
-    for _ in range(max_rounds):
-        links = cut(_small_star(_large_star(links, keys), keys))
-        after = links.agg(
+    while True:
+        links = cut(_small_star(cut(_large_star(links, keys)), keys))
+        after = tuple(links.agg(
             F.count("*"), F.sum(F.xxhash64(*keys, "u", "v").cast("decimal(38,0)"))
-        ).first()
-        if tuple(after) == before:
+        ).first())
+        if after == before or after[0] == 0:
             break
-        before = tuple(after)
-    else:
-        raise RuntimeError("connected components did not settle")
+        before = after
     roots = links.select(*keys, F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return links.select(*keys, F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
@@ -38,7 +37,7 @@ def connected_components(edges: DataFrame, keys: Sequence[str], max_rounds: int
 def _large_star(links: DataFrame, keys: list[str]) -> DataFrame:
     """Link the larger neighbours of a node to the smallest among its neighbours and itself."""
     both = links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
-    smallest = both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    smallest = cut(both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
     return (
         both.where(F.col("v") > F.col("u")).join(smallest, [*keys, "u"])
         .select(*keys, F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -48,7 +47,7 @@ def _large_star(links: DataFrame, keys: list[str]) -> DataFrame:
 def _small_star(links: DataFrame, keys: list[str]) -> DataFrame:
     """Link the smaller neighbours of a node, and the node, to the smallest of them. Links point from the
     larger to the smaller id already."""
-    smallest = links.groupBy(*keys, "u").agg(F.min("v").alias("m"))
+    smallest = cut(links.groupBy(*keys, "u").agg(F.min("v").alias("m")))
     neighbours = links.join(smallest, [*keys, "u"]).select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
     own = smallest.select(*keys, "u", F.col("m").alias("v"))
     return neighbours.unionByName(own).where("u <> v").distinct()
