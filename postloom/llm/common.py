@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: Stands for a null id inside an operator; such rows come first.
 NO_ID = -(2**63)
 
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_GOLDEN = 0x9E3779B97F4A7C15
 
 
 def words(text: bytes) -> list[bytes]:
@@ -40,7 +40,7 @@ class WordHashes(dict):
 
 def mixed(x: np.ndarray, step: int = 0) -> np.ndarray:
     """Scatter 64-bit numbers (the finaliser of splitmix64), differently for each step."""
-    x = x + _GOLDEN * np.uint64(step + 1)
+    x = x + np.uint64(_GOLDEN * (step + 1) % 2**64)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, superkmers
+from . import bpe, chat, packing, setsketch, superkmers
 
 #: Vocabulary file of the two queries on tokens, a file of the installed package of public vocabularies.
 VOCABULARY = "word_bpe_49k.json"
@@ -45,8 +45,12 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(turns.unionByName(own))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicate_rows(table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op6_chat_formatting)
+    f.__name__: f for f in (op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op6_chat_formatting, op7_minhash_near_dedup)
 }
 
 #: Lengths of the marks: head, gap after the role, between texts, after the block.
@@ -92,4 +96,30 @@ FROM w LEFT JOIN (
 ) g ON w.doc_id = g.doc_id
 """
 
-SQL: dict[str, str] = {"op3_substring_dedup": _SUBSTRING_SQL, "op6_chat_formatting": _CHAT_SQL}
+_NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), s AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS t
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), e AS MATERIALIZED (
+    SELECT p.a, p.b
+    FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+    JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+    WHERE 100 * p.both >= 85 * (x.n + y.n - p.both)
+), r AS (
+    SELECT doc_id, doc_id AS reached FROM documents
+    UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""
+
+SQL: dict[str, str] = {
+    "op3_substring_dedup": _SUBSTRING_SQL, "op6_chat_formatting": _CHAT_SQL, "op7_minhash_near_dedup": _NEAR_SQL,
+}
