@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, setsketch, superkmers
+from . import bpe, chat, fingerprints, packing, setsketch, superkmers
 
 #: Vocabulary file of the two queries on tokens, a file of the installed package of public vocabularies.
 VOCABULARY = "word_bpe_49k.json"
@@ -49,8 +49,13 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicate_rows(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op6_chat_formatting, op7_minhash_near_dedup)
+    f.__name__: f for f in (op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op6_chat_formatting, op7_minhash_near_dedup,
+                           op10_document_fingerprints)
 }
 
 #: Lengths of the marks: head, gap after the role, between texts, after the block.
