@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, packing, setsketch, superkmers
+from . import bpe, chat, fingerprints, langid, packing, setsketch, superkmers
 
 #: Vocabulary file of the two queries on tokens, a file of the installed package of public vocabularies.
 VOCABULARY = "word_bpe_49k.json"
@@ -35,6 +35,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.dedup_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predicted_languages(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.lit("\\### Assistant: </turn> ok")
     own = spark.range(2).select(
@@ -54,8 +58,11 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op6_chat_formatting, op7_minhash_near_dedup,
-                           op10_document_fingerprints)
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op5_language_id, op6_chat_formatting, op7_minhash_near_dedup,
+        op10_document_fingerprints,
+    )
 }
 
 #: Lengths of the marks: head, gap after the role, between texts, after the block.
