@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, langid, packing, setsketch, superkmers
+from . import bpe, chat, fingerprints, kneser_ney, langid, packing, setsketch, superkmers
 
 #: Vocabulary file of the two queries on tokens, a file of the installed package of public vocabularies.
 VOCABULARY = "word_bpe_49k.json"
@@ -53,6 +53,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicate_rows(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.scored_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -61,7 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op5_language_id, op6_chat_formatting, op7_minhash_near_dedup,
-        op10_document_fingerprints,
+        op8_lm_scoring, op10_document_fingerprints,
     )
 }
 
