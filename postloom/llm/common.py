@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -97,3 +98,21 @@ def map_rows(
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = [pa.array(column, field.type) for column, field in zip(zip(*rows), schema)]
     return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def mounted(path: str) -> str:
+    """The local path of a shared folder that is mounted on driver and workers."""
+    if path.startswith("file:"):
+        return "/" + path[5:].lstrip("/")
+    if "://" in path:
+        raise ValueError(f"the arrays are mapped into memory, so {path} has to be a mounted folder")
+    return path
+
+
+def save_array(folder: str, name: str, array: np.ndarray) -> None:
+    """Written under a name of its own, then renamed: a second attempt of a task replaces a file by an equal one."""
+    os.makedirs(folder, exist_ok=True)
+    own = f"{folder}/.{name}-{os.getpid()}-{os.urandom(4).hex()}"
+    with open(own, "wb") as f:
+        np.save(f, array)
+    os.replace(own, f"{folder}/{name}.npy")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, kneser_ney, langid, packing, setsketch, superkmers
+from . import bpe, chat, fingerprints, kneser_ney, langid, packing, setsketch, small_world, superkmers
 
 #: Vocabulary file of the two queries on tokens, a file of the installed package of public vocabularies.
 VOCABULARY = "word_bpe_49k.json"
@@ -57,6 +57,10 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.scored_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return small_world.near_vector_rows(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op5_language_id, op6_chat_formatting, op7_minhash_near_dedup,
-        op8_lm_scoring, op10_document_fingerprints,
+        op8_lm_scoring, op9_embedding_near_dedup, op10_document_fingerprints,
     )
 }
 
@@ -136,6 +140,23 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) c ON c.doc_id = d.doc_id
 """
 
+_VECTOR_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+    SELECT vec_id, embedding::DOUBLE[] AS e, len(embedding) AS n FROM embeddings WHERE embedding IS NOT NULL
+), e AS MATERIALIZED (
+    SELECT a, b FROM (
+        SELECT x.vec_id AS a, y.vec_id AS b, list_cosine_similarity(x.e, y.e) AS c FROM v x JOIN v y ON x.n = y.n AND x.vec_id <> y.vec_id
+    ) WHERE isfinite(c) AND c >= 0.9
+), r AS (
+    SELECT vec_id, vec_id AS reached FROM embeddings
+    UNION SELECT r.vec_id, e.b FROM r JOIN e ON e.a = r.reached
+)
+SELECT c.vec_id, coalesce(l.n, 0)::BIGINT AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM (SELECT vec_id, min(reached) AS component_id FROM r GROUP BY vec_id) c
+LEFT JOIN (SELECT a, count(*) AS n FROM e GROUP BY a) l ON l.a = c.vec_id
+"""
+
 SQL: dict[str, str] = {
     "op3_substring_dedup": _SUBSTRING_SQL, "op6_chat_formatting": _CHAT_SQL, "op7_minhash_near_dedup": _NEAR_SQL,
+    "op9_embedding_near_dedup": _VECTOR_SQL,
 }
