@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, kneser_ney, langid, packing, setsketch, small_world, superkmers
+from . import bpe, chat, extraction, fingerprints, kneser_ney, langid, packing, setsketch, small_world, superkmers
 
 #: Vocabulary file of the two queries on tokens, a file of the installed package of public vocabularies.
 VOCABULARY = "word_bpe_49k.json"
@@ -35,6 +35,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.dedup_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted_languages(table(spark, sf_dir, "documents"))
 
@@ -68,7 +72,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op5_language_id, op6_chat_formatting, op7_minhash_near_dedup,
+        op1_best_fit_packing, op2_bpe_tokens, op3_substring_dedup, op4_html_extraction, op5_language_id, op6_chat_formatting, op7_minhash_near_dedup,
         op8_lm_scoring, op9_embedding_near_dedup, op10_document_fingerprints,
     )
 }
