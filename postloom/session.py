@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -86,3 +87,16 @@ def cut(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Give disk back between the steps of a long job: delete tables made by `cut` that nobody reads any more, and ask the
+    JVM to collect, so that Spark's cleaner drops the shuffle files of finished steps (it does so by itself every half hour)."""
+    root = _work_folder(spark)
+    for table in tables:
+        for folder in {path.rpartition("/")[0] for path in table.inputFiles()}:
+            at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if f"/{root.rpartition('/')[2]}/" in folder:  # only what this session wrote
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    spark._jvm.System.gc()
