@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import GROUP_ROWS
 from ..operators import aggregates as agg, ranking
 from ..sources import fixtures as fx
 from . import _sql as S
@@ -34,9 +33,8 @@ def weekly_representative_posts(spark, sf):
     """The top 3 clusters of each niche and week, and the 8 most representative posts of each."""
     posts = fx.clustered_posts(spark, sf)
     top = agg.top_clusters_of_large_slices(posts, 3, 20)
-    largest = top.agg(F.max("post_count")).first()[0] or 0
     mine = posts.join(top.select(*_KEYS, "importance_score", "cluster_rank"), _KEYS)
-    picked = ranking.representative_posts(mine, _KEYS, 8, large=largest > GROUP_ROWS)
+    picked = ranking.representative_posts(mine, _KEYS, 8)
     return picked.select(
         *agg.SLICE, "cluster_rank", "cluster", "importance_score", "position", "post_id", "score", "combined_rank",
         stamp("timestamp_utc"),
@@ -56,9 +54,53 @@ _NICHE_RANKED = _RANKED.replace("PARTITION BY niche, week_year, week_number, clu
 
 @query("f1_ranks_in_large_group", S.with_(S.CLUSTERED, _NICHE_RANKED.format(source="clustered")) + f"SELECT {_RANK_COLUMNS} FROM combined")
 def ranks_in_large_group(spark, sf):
-    """The same ranks over whole niches, counted over slices of the niche as for a group too large for a task."""
+    """The same ranks over whole niches, in slices of about a hundred values."""
     rows = fx.clustered_posts(spark, sf)
-    return ranking.combined_rank(rows, ["niche"], large=True, group_rows=100).select(*_RANK_COLUMNS.split(", "))
+    return ranking.combined_rank(rows, ["niche"], group_rows=100).select(*_RANK_COLUMNS.split(", "))
+
+
+# Posts with gaps: no vote ratio, no probability, no cluster.
+_GAPS = """gaps AS (
+  SELECT p.post_id, p.niche, p.score, CAST(p.num_comments AS DOUBLE) AS num_comments, p.upvote_ratio, p.timestamp_utc, p.author,
+    CASE WHEN CAST(p.post_id AS BIGINT) % 7 <> 0 THEN g.cluster END AS cluster,
+    CASE WHEN g.probability >= 0.1 THEN g.probability END AS probability
+  FROM posts p JOIN given g ON g.vec_id = CAST(p.post_id AS BIGINT) % (SELECT count(*) FROM embeddings))"""
+
+_GAPS_RANKED = _RANKED.replace("niche, week_year, week_number, cluster", "niche, cluster").format(source="gaps")
+
+
+def _posts_with_gaps(spark, sf):
+    vecs = fx.table(spark, sf, "embeddings").agg(F.count("*")).scalar()
+    posts = fx.posts(spark, sf).withColumn("vec_id", F.col("post_id").cast("bigint") % vecs).join(fx.given_clusters(spark, sf), "vec_id")
+    return posts.select(
+        "post_id", "niche", "score", F.col("num_comments").cast("double").alias("num_comments"), "upvote_ratio", "timestamp_utc", "author",
+        F.when(F.col("post_id").cast("bigint") % 7 != 0, F.col("cluster")).alias("cluster"),
+        F.when(F.col("probability") >= 0.1, F.col("probability")).alias("probability"),
+    )
+
+
+_GAP_RANKS = "post_id, niche, cluster, prob_rank, eng_rank, combined_rank"
+
+
+@query("f1_ranks_with_nulls", S.with_(S.POSTS, S.GIVEN, _GAPS, _GAPS_RANKED) + f"SELECT {_GAP_RANKS} FROM combined")
+def ranks_with_nulls(spark, sf):
+    """No post is lost for a missing value or cluster; slices are small, so groups are split."""
+    return ranking.combined_rank(_posts_with_gaps(spark, sf), ["niche", "cluster"], group_rows=20).select(*_GAP_RANKS.split(", "))
+
+
+@query("f2_representative_posts_with_nulls", S.with_(S.POSTS, S.GIVEN, _GAPS, _GAPS_RANKED) + f"""
+SELECT niche, cluster, position, post_id, author, combined_rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY niche, cluster ORDER BY combined_rank, timestamp_utc DESC, post_id) AS INTEGER) AS position
+  FROM combined) WHERE position <= 8""")
+def representative_posts_with_nulls(spark, sf):
+    picked = ranking.representative_posts(_posts_with_gaps(spark, sf), ["niche", "cluster"], 8, group_rows=20)
+    return picked.select("niche", "cluster", "position", "post_id", "author", "combined_rank")
+
+
+@query("e9_median_with_nulls", S.with_(S.POSTS, S.GIVEN, _GAPS) + """
+SELECT cluster, median(probability) AS middle FROM gaps GROUP BY cluster HAVING count(probability) > 0""")
+def median_with_nulls(spark, sf):
+    return ranking.group_median(_posts_with_gaps(spark, sf), ["cluster"], "probability", "middle")
 
 
 @query("f3_top_clusters", S.with_(S.CLUSTERED, S.GATED, S.STATS) + """
@@ -78,7 +120,10 @@ def top_posts_by_score(spark, sf):
     return top.select("cluster", "rank", "post_id", "niche", "score")
 
 
-@query("f5_sample_per_cluster")
+@query("f5_sample_per_cluster", S.with_(S.NOISY) + """
+SELECT cluster, position, post_id FROM (
+  SELECT cluster, post_id, CAST(row_number() OVER (PARTITION BY cluster ORDER BY md5(post_id || ':42'), post_id) AS INTEGER) AS position FROM noisy)
+WHERE position <= 5""")
 def sample_per_cluster(spark, sf):
     """Up to five posts of each cluster, picked by a seeded hash: the same posts on every run."""
     return ranking.seeded_sample(fx.noisy_posts(spark, sf), ["cluster"], 5, seed=42).select("cluster", "position", "post_id")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import W_COMMENTS, W_SCORE, W_UPVOTE
 from ..functions import dates, numbers
 from ..session import cut
-from .ranking import group_median, top_rows, value_positions
+from .ranking import group_median, null_safe_join, top_rows, value_positions
 
 SLICE = ["niche", "week_year", "week_number"]
 NOISE = -1
@@ -105,7 +105,7 @@ def engagement_stats(df: DataFrame) -> DataFrame:
     medians = group_median(df, ["cluster"], "engagement", "median_engagement").withColumn(
         "median_engagement", numbers.rounded(F.col("median_engagement"), 1)
     )
-    return sums.join(medians, "cluster")
+    return null_safe_join(sums, medians, ["cluster"], "left")
 
 
 def weekly_volume(df: DataFrame) -> DataFrame:

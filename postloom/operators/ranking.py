@@ -11,75 +11,65 @@ from ..config import GROUP_ROWS, W_ENGAGEMENT_RANK, W_PROBABILITY_RANK
 from ..functions import numbers
 from ..session import cut
 
-_MAX_SLICES = 512
 
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group: one scan of the key columns, combined on the map side."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys where null equals null; the columns of the left, then those of the right that are no keys."""
+    mine = {k: f"_right_{k}" for k in keys}
+    renamed = right.withColumnsRenamed(mine)
+    on = None
+    for k, other in mine.items():
+        same = F.col(k).eqNullSafe(F.col(other))
+        on = same if on is None else on & same
+    return left.join(renamed, on, how).drop(*mine.values())
 
 
 def value_positions(df: DataFrame, keys: Sequence[str], value: str, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Distinct values of each group with the number of rows above them.
+    """Distinct values of each group with the number of rows above them; null is a value below all others.
 
     Returns keys, `value`, `n_equal`, `n_above`, `n_total`. Equal values are counted before the shuffle.
-    A group of more than `group_rows` rows is split by a few of its own values, so that no window holds
-    more than a slice of it; smaller groups have one slice. The split values are picked by
-    hash and only steer the split, they do not change the counts. The counts are read several times, so
+    A group is split at some of its own values, about one in `group_rows`, so that no window holds more than about
+    that many rows whatever the size of the group; a smaller group has one slice, mostly. The split values
+    are picked by hash and only steer the split, they do not change the counts. The counts are read several times, so
     they are made durable once instead of being computed again.
     """
     keys = list(keys)
     counted = cut(df.groupBy(*keys, value).agg(F.count("*").alias("n_equal")))
-    sizes = counted.groupBy(*keys).agg(F.sum("n_equal").alias("n_total"), F.count("*").alias("_n_values"))
-    large = sizes.where(F.col("_n_values") > group_rows).select(
-        *keys, F.greatest(F.lit(group_rows), F.floor(F.col("_n_values") / _MAX_SLICES)).alias("_every")
-    )
-    splits = (
-        counted.join(large, keys)
-        .where(F.pmod(F.xxhash64(value), F.col("_every")) == 0)
-        .groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("_splits"))
-    )
-    no_splits = F.array().cast(splits.schema["_splits"].dataType)
-    sliced = (
-        counted.join(splits, keys, "left")
-        .withColumn("_splits", F.coalesce("_splits", no_splits))
-        .withColumn("_slice", F.size(F.filter("_splits", lambda s: s > F.col(value))))
-        .drop("_splits")
+    sizes = counted.groupBy(*keys).agg(
+        F.sum("n_equal").alias("n_total"),
+        F.array_sort(F.collect_list(F.when(
+            F.col(value).isNotNull() & (F.pmod(F.xxhash64(value), F.lit(group_rows)) == 0), F.col(value)
+        ))).alias("_splits"),
     )
+    below = F.when(F.col(value).isNull(), F.size("_splits")).otherwise(F.size(F.filter("_splits", lambda s: s > F.col(value))))
+    sliced = null_safe_join(counted, sizes, keys).withColumn("_slice", below).drop("_splits")
     above = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(*keys, "_slice").agg(F.sum("n_equal").alias("_n_slice"))
         .withColumn("_offset", F.coalesce(F.sum("_n_slice").over(above), F.lit(0)))
         .drop("_n_slice")
     )
-    inside = Window.partitionBy(*keys, "_slice").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        sliced.withColumn("_before", F.coalesce(F.sum("n_equal").over(inside), F.lit(0)))
-        .join(offsets, [*keys, "_slice"])
-        .join(sizes.drop("_n_values"), keys)
-        .select(*keys, value, "n_equal", (F.col("_before") + F.col("_offset")).alias("n_above"), "n_total")
+    inside = Window.partitionBy(*keys, "_slice").orderBy(F.desc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = sliced.withColumn("_before", F.coalesce(F.sum("n_equal").over(inside), F.lit(0)))
+    return null_safe_join(numbered, offsets, [*keys, "_slice"]).select(
+        *keys, value, "n_equal", (F.col("_before") + F.col("_offset")).alias("n_above"), "n_total"
     )
 
 
-def add_min_rank(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, large: bool = False, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """Descending rank inside a group, equal values share the smallest rank.
+def add_min_rank(df: DataFrame, keys: Sequence[str], value: str, name: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Descending rank inside a group, equal values share the smallest rank, nulls come last.
 
-    A window sorts a whole group in one task, which is right for bounded groups. With `large` the rank is
-    the number of rows above, counted over slices of the group.
+    The rank is the number of rows above, counted over slices of the group, so a group of any size is ranked the same way.
     """
     keys = list(keys)
-    if not large:
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(F.desc(value))).cast("bigint"))
     ranks = value_positions(df, keys, value, group_rows).select(*keys, value, (F.col("n_above") + 1).alias(name))
-    return df.join(ranks, [*keys, value]).select(*df.columns, name)
+    return null_safe_join(df, ranks, [*keys, value]).select(*df.columns, name)
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median per group: the mean of the values at the two middle positions."""
+    """Exact median per group: the mean of the values at the two middle positions. Nulls are left out; a group of
+    nulls has none."""
     keys = list(keys)
-    at = value_positions(df, keys, value)
+    at = value_positions(df.where(F.col(value).isNotNull()), keys, value)
     low = F.floor((F.col("n_total") + 1) / 2)
     high = F.floor((F.col("n_total") + 2) / 2)
 
@@ -103,32 +93,35 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return top_rows(df, keys, order, 1, "_first").drop("_first")
 
 
-def combined_rank(
-    posts: DataFrame, keys: Sequence[str], large: bool | None = None, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def combined_rank(posts: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
     """Rank by closeness to the cluster and by engagement, and the weighted sum of both ranks."""
-    if large is None:
-        large = largest_group(posts, keys) > group_rows
     ranked = posts.withColumn(
         "engagement",
         numbers.rounded(numbers.weighted_engagement(F.col("score"), F.col("num_comments"), F.col("upvote_ratio")), 6),
     )
-    ranked = add_min_rank(ranked, keys, "probability", "prob_rank", large, group_rows)
-    ranked = add_min_rank(ranked, keys, "engagement", "eng_rank", large, group_rows)
+    ranked = add_min_rank(ranked, keys, "probability", "prob_rank", group_rows)
+    ranked = add_min_rank(ranked, keys, "engagement", "eng_rank", group_rows)
     return ranked.withColumn(
         "combined_rank",
         F.round(F.col("prob_rank") * F.lit(W_PROBABILITY_RANK) + F.col("eng_rank") * F.lit(W_ENGAGEMENT_RANK), 4),
     )
 
 
-def representative_posts(
-    posts: DataFrame, keys: Sequence[str], n: int, large: bool | None = None, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """The `n` posts of each cluster with the smallest combined rank; newer posts win ties."""
+_RANKED_BY = ("post_id", "timestamp_utc", "score", "num_comments", "upvote_ratio", "probability")
+
+
+def representative_posts(posts: DataFrame, keys: Sequence[str], n: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """The `n` posts of each cluster with the smallest combined rank; newer posts win ties. Other columns of the
+    posts are joined once the few posts are known."""
     order = [F.asc("combined_rank"), F.desc("timestamp_utc"), F.asc("post_id")]
-    return top_rows(combined_rank(posts, keys, large, group_rows), keys, order, n, "position")
+    narrow = posts.select(*keys, *(c for c in _RANKED_BY if c not in keys))
+    best = top_rows(combined_rank(narrow, keys, group_rows), keys, order, n, "position")
+    rest = [c for c in posts.columns if c not in narrow.columns]
+    if not rest:
+        return best
+    return null_safe_join(posts.select(*keys, "post_id", *rest), best, [*keys, "post_id"])
 
 
 def seeded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42, id_column: str = "post_id") -> DataFrame:
     """Up to `n` rows of each group in the order of a seeded hash of their id."""
-    return top_rows(df, keys, [F.xxhash64(id_column, F.lit(seed)), F.asc(id_column)], n, "position")
+    return top_rows(df, keys, [F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f":{seed}"))), F.asc(id_column)], n, "position")

@@ -3,6 +3,8 @@
 import json
 
 import numpy as np
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postloom.operators import aggregates as agg, ranking
@@ -20,21 +22,30 @@ def _skewed(spark):
     return spark.createDataFrame(rows, "g string, id int, v double")
 
 
-def test_rank_in_slices_equals_window(spark):
-    df = _skewed(spark)
-    plain = ranking.add_min_rank(df, ["g"], "v", "r")
-    sliced = ranking.add_min_rank(df, ["g"], "v", "r", large=True, group_rows=20)
-    assert plain.exceptAll(sliced).isEmpty() and sliced.count() == 3050
+def _with_nulls(spark):
+    return _skewed(spark).selectExpr(
+        "if(id % 5 = 0, null, g) AS g", "id", "if(id % 4 = 0, null, v) AS v")
+
+
+@pytest.mark.parametrize("rows", [_skewed, _with_nulls])
+def test_rank_in_slices_equals_window(spark, rows):
+    df = rows(spark)
+    window = Window.partitionBy("g").orderBy(F.desc_nulls_last("v"))
+    plain = df.withColumn("r", F.rank().over(window).cast("bigint"))
+    for group_rows in (20, 200_000):
+        sliced = ranking.add_min_rank(df, ["g"], "v", "r", group_rows=group_rows)
+        assert sliced.count() == 3050 and plain.exceptAll(sliced).isEmpty()
     at = ranking.value_positions(df, ["g"], "v", 20)
-    assert at.groupBy("g").agg(F.sum("n_equal").alias("n")).orderBy("g").collect()[1]["n"] == 3000
+    assert at.agg(F.sum("n_equal").alias("n")).first()["n"] == 3050
 
 
-def test_median_and_codes(spark):
-    df = _skewed(spark)
+@pytest.mark.parametrize("rows", [_skewed, _with_nulls])
+def test_median_and_codes(spark, rows):
+    df = rows(spark)
     got = {r["g"]: r["m"] for r in ranking.group_median(df, ["g"], "v", "m").collect()}
-    want = df.toPandas().groupby("g")["v"].median().to_dict()
-    assert got == want
-    codes = agg.label_codes(df, "g").orderBy("code").collect()
+    want = df.toPandas().groupby("g", dropna=False)["v"].median().to_dict()
+    assert got == {None if k != k else k: v for k, v in want.items()}
+    codes = agg.label_codes(_skewed(spark), "g").orderBy("code").collect()
     assert [tuple(r) for r in codes] == [("cold", 0), ("hot", 1)]
 
 
