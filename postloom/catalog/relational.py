@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import CRITICAL_WORDS
 from ..functions import numbers, text
 from ..operators import aggregates as agg
 from ..sources import fixtures as fx, store
@@ -12,8 +13,6 @@ from . import query
 from ._frames import stamped, vector_text
 from .scans import _POST_VECTORS
 
-NICHES = ["click", "error", "purchase", "signup", "view"]
-
 _REPORT_SQL = """top AS (
   SELECT cluster, niche AS dominant_topic FROM (
     SELECT cluster, niche, row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, niche) AS r
@@ -157,10 +156,9 @@ def dominant_niche(spark, sf):
     return agg.dominant(fx.noisy_posts(spark, sf).where("cluster <> -1"), ["cluster"], "niche", "dominant_topic")
 
 
-@query("e14_cross_tab", S.with_(S.NOISY) + "SELECT cluster, " + ", ".join(
-    f"count(*) FILTER (niche = '{n}') AS {n}" for n in NICHES) + " FROM noisy GROUP BY cluster")
+@query("e14_cross_tab", S.with_(S.NOISY) + "SELECT * FROM (PIVOT noisy ON niche USING count(*) GROUP BY cluster)")
 def cross_tab(spark, sf):
-    return agg.cross_tab(fx.noisy_posts(spark, sf), NICHES)
+    return agg.cross_tab(fx.noisy_posts(spark, sf))
 
 
 @query("e15_niche_shares", S.with_(S.NOISY) + """
@@ -199,11 +197,11 @@ def noise_summary(spark, sf):
 
 
 @query("e19_critical_share", S.with_(S.POSTS) + """
-SELECT niche, round(avg(CASE WHEN contains(lower(title), 'ban') OR contains(lower(title), 'bad') OR contains(lower(title), 'leak')
-  THEN 1.0 ELSE 0.0 END) + 1e-9, 6) AS critical_share FROM posts GROUP BY niche""")
+SELECT niche, round(avg(CASE WHEN list_bool_or([contains(lower(title), w) FOR w IN [{words}]]) THEN 1.0 ELSE 0.0 END) + 1e-9, 6) AS critical_share
+FROM posts GROUP BY niche""".format(words=S.word_list(CRITICAL_WORDS)))
 def critical_share(spark, sf):
     posts = fx.posts(spark, sf, with_text=True, with_ratio=False)
-    hit = text.is_critical(F.col("title"), ["ban", "bad", "leak"]).cast("double")
+    hit = text.is_critical(F.col("title")).cast("double")
     return posts.groupBy("niche").agg(numbers.rounded(F.avg(hit), 6).alias("critical_share"))
 
 
@@ -217,13 +215,18 @@ def confidence_histogram(spark, sf):
 
 @query("h1_union_of_niches", S.with_(S.POSTS) + "SELECT post_id, niche FROM posts")
 def union_of_niches(spark, sf):
-    """One scan holds all niches; separate frames are put together by name."""
-    posts = fx.posts(spark, sf, with_ratio=False).select("post_id", "niche")
-    parts = [posts.where(F.col("niche") == n) for n in NICHES]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """One scan holds all niches, whatever they are."""
+    return fx.posts(spark, sf, with_ratio=False).select("post_id", "niche")
+
+
+@query("h1_union_of_frames", """
+SELECT doc_id AS id, source AS origin, lang, NULL AS url FROM documents
+UNION ALL SELECT page_id, 'page', NULL, url FROM pages""")
+def union_of_frames(spark, sf):
+    """Frames with different columns are put together by name."""
+    documents = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("origin"), "lang")
+    pages = fx.table(spark, sf, "pages").select(F.lit("page").alias("origin"), F.col("page_id").alias("id"), "url")
+    return documents.unionByName(pages, allowMissingColumns=True)
 
 
 def _weekly_counts(spark, sf):

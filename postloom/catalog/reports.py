@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,13 +163,14 @@ def csv_report(spark, sf):
 
 @query("a16_created_tables", S.with_(S.POSTS) + "SELECT niche, count(*) AS posts FROM posts GROUP BY niche")
 def created_tables(spark, sf):
-    """The posts table as defined, filled and read through its definition."""
-    posts = fx.posts(spark, sf)
-    path = scratch_path(spark, "tables")
-    empty = spark.createDataFrame([], schemas.TABLES["posts"])
-    filled = empty.unionByName(posts.drop("doc_id").withColumn("score", F.floor("score").cast("int")), allowMissingColumns=True)
-    store.append(filled, path, schemas.PARTITIONS["posts"])
-    return spark.read.schema(schemas.TABLES["posts"]).parquet(path).groupBy("niche").agg(F.count("*").alias("posts"))
+    """All tables as defined; that of posts is filled and read through its definition."""
+    database = f"made_{uuid.uuid4().hex}"
+    schemas.create_tables(spark, database)
+    table = f"{database}.posts"
+    posts = fx.posts(spark, sf).drop("doc_id").withColumn("score", F.floor("score").cast("int"))
+    filled = spark.table(table).limit(0).unionByName(posts, allowMissingColumns=True)
+    filled.select(*spark.table(table).columns).write.mode("append").insertInto(table)
+    return spark.table(table).groupBy("niche").agg(F.count("*").alias("posts"))
 
 
 _SUMMARIES = _RESULTS + """

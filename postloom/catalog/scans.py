@@ -36,8 +36,8 @@ def csv_scan(spark, sf):
 
 
 def _landed_listings(spark: SparkSession, sf: str, path: str) -> None:
-    """Listing pages as a site would serve them: each post in the listing of new posts, posts with more than
-    50 comments also in the top listing, an author missing where the user id is 0. A page has the posts of
+    """Listing pages as a site would serve them: four of five posts in the listing of new posts, posts with
+    more than 50 comments in the top listing, some in that of the week, with a later score; an author missing where the user id is 0. A page has the posts of
     100 consecutive ids."""
     posts = fx.posts(spark, sf)
     child = F.struct(
@@ -54,10 +54,12 @@ def _landed_listings(spark: SparkSession, sf: str, path: str) -> None:
             F.when(F.col("num_comments") % 2 == 0, F.concat(F.lit("https://example.com/"), "post_id")).alias("url"),
         ).alias("data")
     ).alias("child")
-    newest = posts.select(F.lit("new").alias("listing"), "post_id", child)
+    newest = posts.where("num_comments % 5 <> 0").select(F.lit("new").alias("listing"), "post_id", child)
     top = posts.where("num_comments > 50").select(F.lit("top/month").alias("listing"), "post_id", child)
+    later = child.withField("data.score", (F.floor("score") + 7).cast("int"))
+    week = posts.where("num_comments % 5 = 0 OR num_comments > 90").select(F.lit("top/week").alias("listing"), "post_id", later.alias("child"))
     pages = (
-        newest.unionByName(top)
+        newest.unionByName(top).unionByName(week)
         .withColumn("page", F.floor(F.col("post_id").cast("bigint") / 100))
         .groupBy("listing", "page")
         .agg(F.collect_list("child").alias("children"))
@@ -75,7 +77,8 @@ _LISTED = """listed AS (
 
 
 @query("a2_listing_pages", S.with_(S.POSTS, _LISTED) + f"""
-SELECT * REPLACE ({S.stamp('timestamp_utc')} AS timestamp_utc), 'new' AS listing FROM listed
+SELECT * REPLACE ({S.stamp('timestamp_utc')} AS timestamp_utc), 'new' AS listing FROM listed WHERE num_comments % 5 <> 0
+UNION ALL SELECT * REPLACE ({S.stamp('timestamp_utc')} AS timestamp_utc, score + 7 AS score), 'top/week' AS listing FROM listed WHERE num_comments % 5 = 0 OR num_comments > 90
 UNION ALL SELECT * REPLACE ({S.stamp('timestamp_utc')} AS timestamp_utc), 'top/month' AS listing FROM listed WHERE num_comments > 50""")
 def listing_pages(spark, sf):
     path = scratch_path(spark, "listings")
@@ -189,7 +192,7 @@ def upsert_embeddings(spark, sf):
     store.append(vecs.where(F.col("niche").isin(*_STORED_NICHES)), path, ["niche"])
     batch = vecs.withColumns({"niche": F.lit("other"), "embedding": F.transform("embedding", lambda x: -x)})
     stored = spark.read.schema(vecs.schema).parquet(path)
-    store.rewrite(store.upserted(stored, batch, ["post_id"], ["embedding"], [F.asc("niche")]), path, ["niche"])
+    store.upsert(stored, batch, ["post_id"], ["embedding"], [F.asc("niche")], path, ["niche"])
     return spark.read.schema(vecs.schema).parquet(path).select("post_id", "niche", vector_text("embedding"))
 
 
@@ -214,11 +217,14 @@ def upsert_clusters(spark, sf):
         {"post_count": F.col("post_count") + 1000, "cluster_name": F.lit("new")}
     )
     added = renamed.withColumn("cluster_id", F.col("cluster_id") + 100)
-    merged = store.upserted(
+    path, parts = scratch_path(spark, "clusters"), schemas.PARTITIONS["clusters"]
+    store.append(stored, path, parts)
+    stored = spark.read.schema(stored.schema).parquet(path)
+    store.upsert(
         stored, renamed.unionByName(added), ["niche", "cluster_id", "cluster_version"],
-        ["cluster_name", "cluster_summary", "keywords", "post_count"], [F.asc("cluster_name")],
+        ["cluster_name", "cluster_summary", "keywords", "post_count"], [F.asc("cluster_name")], path, parts,
     )
-    return merged.select("niche", "cluster_id", "cluster_version", "post_count", "cluster_name")
+    return spark.read.schema(stored.schema).parquet(path).select("niche", "cluster_id", "cluster_version", "post_count", "cluster_name")
 
 
 @query("a12_json_rows", S.with_(S.POSTS) + f"""
@@ -291,7 +297,8 @@ def rows_per_version(spark, sf):
 
 
 @query("f7_first_seen_posts", S.with_(S.POSTS, _LISTED) + """
-SELECT post_id, niche, author, 'new' AS listing FROM listed""")
+SELECT post_id, niche, author, listing, CASE listing WHEN 'top/week' THEN score + 7 ELSE score END AS score FROM (
+  SELECT *, CASE WHEN num_comments % 5 <> 0 THEN 'new' WHEN num_comments > 50 THEN 'top/month' ELSE 'top/week' END AS listing FROM listed)""")
 def first_seen_posts(spark, sf):
     """A post in two listings counts once, under the listing with the higher priority."""
     from ..plans.ingest import first_seen
@@ -299,7 +306,7 @@ def first_seen_posts(spark, sf):
     path = scratch_path(spark, "listings")
     _landed_listings(spark, sf, path)
     pages = spark.read.schema(schemas.LISTING_PAGE + ", listing string").json(path)
-    return first_seen(files.posts_of_pages(pages, "listing")).select("post_id", "niche", "author", "listing")
+    return first_seen(files.posts_of_pages(pages, "listing")).select("post_id", "niche", "author", "listing", "score")
 
 
 @query("c4_recent_posts", S.with_(S.POSTS, _LISTED) + f"""

@@ -10,6 +10,7 @@ from ..plans import experiments
 from ..sources import fixtures as fx
 from . import _sql as S
 from . import query
+from ._frames import vector_text
 
 
 def _points(spark, sf):
@@ -74,6 +75,18 @@ def cosine_silhouette(spark, sf):
     return value.select(numbers.rounded(F.col("silhouette"), 6).alias("silhouette"))
 
 
+_DRAWN = """drawn AS (
+  SELECT vec_id, label, embedding FROM (SELECT *, row_number() OVER (ORDER BY md5(vec_id || ':42'), vec_id) AS r FROM embeddings) WHERE r <= 300)"""
+
+
+@query("j10_sampled_silhouette", S.with_(_DRAWN, _SILHOUETTE.replace("FROM embeddings a, embeddings b", "FROM drawn a, drawn b")) + """
+SELECT vec_id AS id, label AS cluster, round(s + 1e-9, 6) AS silhouette FROM sil""")
+def sampled_silhouette(spark, sf):
+    """Silhouettes within a seeded sample of the vectors."""
+    samples = metrics.silhouette_samples(_points(spark, sf), [], "id", "vector", sample=300)
+    return samples.withColumn("silhouette", numbers.rounded(F.col("silhouette"), 6))
+
+
 @query("j11_calinski_harabasz", S.with_(_LABELLED, _CH) + "SELECT round(v + 1e-9, 6) AS calinski_harabasz FROM ch")
 def calinski_harabasz(spark, sf):
     value = metrics.calinski_harabasz(_points(spark, sf), [], "id", "vector")
@@ -112,13 +125,23 @@ def mutual_information(spark, sf):
     return value.withColumn("nmi", numbers.rounded(F.col("nmi"), 6))
 
 
-@query("j15_metric_row", S.with_(_LABELLED, _SILHOUETTE, _CH, _DB) + """
+# Labels against the remainder of the id: pair counts and mutual information of the cross table.
+_TRUTH = """cells AS (SELECT vec_id % 4 AS t, label AS c, CAST(count(*) AS DOUBLE) AS n FROM embeddings GROUP BY ALL),
+rows_ AS (SELECT t, sum(n) AS s FROM cells GROUP BY t), cols AS (SELECT c, sum(n) AS s FROM cells GROUP BY c), all_ AS (SELECT sum(n) AS n FROM cells),
+pairs AS (SELECT (SELECT sum(n * n) FROM cells) AS nn, (SELECT sum(s * s) FROM rows_) AS rr, (SELECT sum(s * s) FROM cols) AS cc, n FROM all_),
+ari AS (SELECT 2 * (tp * tn - fn * fp) / ((tp + fn) * (fn + tn) + (tp + fp) * (fp + tn)) AS ari
+  FROM (SELECT nn - n AS tp, cc - nn AS fp, rr - nn AS fn, n * n - (nn - n) - (cc - nn) - (rr - nn) - n AS tn FROM pairs)),
+nmi AS (SELECT greatest((SELECT sum(cells.n / all_.n * ln(cells.n * all_.n / (rows_.s * cols.s))) FROM cells JOIN rows_ USING (t) JOIN cols USING (c), all_), 0)
+  / (((SELECT -sum(s / n * ln(s / n)) FROM rows_, all_) + (SELECT -sum(s / n * ln(s / n)) FROM cols, all_)) / 2) AS nmi)"""
+
+
+@query("j15_metric_row", S.with_(_LABELLED, _SILHOUETTE, _CH, _DB, _TRUTH) + """
 SELECT (SELECT count(*) FROM sizes) AS n_clusters, CAST(0 AS BIGINT) AS noise, 0.0::DOUBLE AS noise_pct, 100.0::DOUBLE AS coverage,
   (SELECT round(avg(s) + 1e-9, 4) FROM sil) AS silhouette, (SELECT round(v + 1e-9, 2) FROM ch) AS calinski_harabasz,
-  (SELECT round(v + 1e-9, 4) FROM db) AS davies_bouldin, 1.0::DOUBLE AS ari, 1.0::DOUBLE AS nmi""")
+  (SELECT round(v + 1e-9, 4) FROM db) AS davies_bouldin, (SELECT round(ari + 1e-9, 4) FROM ari) AS ari, (SELECT round(nmi + 1e-9, 4) FROM nmi) AS nmi""")
 def metric_row(spark, sf):
-    """All metrics of the given labels in one row; as their own truth they agree fully."""
-    rows = _points(spark, sf).withColumn("truth", F.col("cluster"))
+    """All metrics of the given labels in one row, with the remainder of the id as truth."""
+    rows = _points(spark, sf).withColumn("truth", (F.col("id") % 4).cast("int"))
     return metrics.evaluate(rows, [], "id", "vector", "truth")
 
 
@@ -144,12 +167,13 @@ def composite_score(spark, sf):
 
 
 @query("j21_labelled_vectors", S.with_(S.POSTS) + """
-SELECT post_id, CAST(dense_rank() OVER (ORDER BY niche) - 1 AS INTEGER) AS truth, 64 AS dim FROM posts""")
+SELECT p.post_id, CAST(dense_rank() OVER (ORDER BY p.niche) - 1 AS INTEGER) AS truth, {v} AS embedding FROM posts p
+JOIN embeddings v ON v.vec_id = CAST(p.post_id AS BIGINT) % (SELECT count(*) FROM embeddings)""".format(v=S.vector_text("v.embedding")))
 def labelled_vectors(spark, sf):
     """All posts with their vector and the code of their niche."""
     joined = fx.posts(spark, sf, with_ratio=False).join(fx.post_embeddings(spark, sf).drop("niche"), "post_id")
     codes = agg.label_codes(fx.posts(spark, sf, with_ratio=False), "niche", "truth")
-    return joined.join(codes, "niche").select("post_id", "truth", F.size("embedding").alias("dim"))
+    return joined.join(codes, "niche").select("post_id", "truth", vector_text("embedding"))
 
 
 # Reduction and encoders: no SQL twin, checked by invariants and against NumPy in the tests ------------
@@ -205,11 +229,14 @@ def _letter_model():
     return encode
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
 @query("j1_model_vectors", "SELECT doc_id, " + ", ".join(
-    f"round(CAST(CAST((length(text) - length(replace(text, '{c}', ''))) / (len(regexp_extract_all(text, '[a-z]')) + 0.0) AS FLOAT) AS DOUBLE) + 1e-9, 4) AS share_{c}" for c in "aez"
-) + " FROM documents WHERE regexp_matches(text, '[a-z]')")
+    f"round(CAST(CAST((length(body) - length(replace(body, '{c}', ''))) / greatest(letters, 1.0) AS FLOAT) AS DOUBLE) + 1e-9, 4) AS share_{c}" for c in _LETTERS
+) + " FROM (SELECT doc_id, coalesce(text, '') AS body, len(regexp_extract_all(coalesce(text, ''), '[a-z]')) + 0.0::DOUBLE AS letters FROM documents)")
 def model_vectors(spark, sf):
     """Vectors by a plugged-in model, loaded once per worker."""
-    rows = reduction.encode_with(fx.documents(spark, sf).where(F.col("text").rlike("[a-z]")), "doc_id", "text", _letter_model)
+    rows = reduction.encode_with(fx.documents(spark, sf), "doc_id", "text", _letter_model)
     return rows.select("doc_id", *[
-        F.round(F.col("embedding")[ord(c) - 97].cast("double") + 1e-9, 4).alias(f"share_{c}") for c in "aez"])
+        F.round(F.col("embedding")[ord(c) - 97].cast("double") + 1e-9, 4).alias(f"share_{c}") for c in _LETTERS])

@@ -19,8 +19,6 @@ CRITICAL_WORDS = [
     "wrong", "bad", "terrible", "dangerous", "illegal", "blocked",
     "cancelled", "delayed", "fined", "crash", "layoff", "leak",
 ]
-# The last three words are left out of the shorter list.
-CRITICAL_WORDS_SHORT = [w for w in CRITICAL_WORDS if w not in ("crash", "layoff", "leak")]
 
 # Sentiment labels and their thresholds on the critical share.
 SENTIMENT_NEGATIVE = "mostly negative/critical"
@@ -88,5 +86,3 @@ class Settings:
 GROUP_ROWS = 200_000
 # Rows of one vector block; a task holds two blocks and their distance matrix.
 BLOCK_ROWS = 2_048
-# A side is broadcast by hint only when it is known to have at most this many rows.
-BROADCAST_ROWS = 100_000

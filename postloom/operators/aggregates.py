@@ -150,8 +150,14 @@ def cluster_report(df: DataFrame, keywords: DataFrame | None = None, with_times:
     return report if keywords is None else report.join(keywords, "cluster", "left")
 
 
-def cross_tab(df: DataFrame, niches: Sequence[str]) -> DataFrame:
-    """Cluster by niche counts, zero filled. The niche list is given, so the pivot is one pass."""
+def cross_tab(df: DataFrame, niches: Sequence[str] | None = None, most: int = 1000) -> DataFrame:
+    """Cluster by niche counts, zero filled. Without a list the niches are read from the data; as each is a
+    column, more than `most` of them are an error."""
+    if niches is None:
+        found = df.select("niche").where("niche IS NOT NULL").distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"more than {most} niches for the columns of a table")
+        niches = sorted(r["niche"] for r in found)
     return df.groupBy("cluster").pivot("niche", list(niches)).count().na.fill(0)
 
 

@@ -15,7 +15,7 @@ from ..functions import numbers, vectors
 from ..session import cut
 from . import blocks
 from .aggregates import NOISE, noise_summary
-from .ranking import top_rows
+from .ranking import null_safe_join, top_rows
 
 
 def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -67,6 +67,25 @@ def _distance_sums(metric: str) -> blocks.Kernel:
     return kernel
 
 
+def seeded_sample_of_each(points: DataFrame, keys: Sequence[str], sample: int, seed: int) -> DataFrame:
+    """The `sample` points of each key that come first by a hash of their id.
+
+    A key of any size may hold them, so points that cannot be among them are left out first: a threshold on the hash,
+    from the key's size, passes a few more points than asked for; only these are numbered. Should it pass too few, which
+    is all but impossible, the key's points are all numbered.
+    """
+    draw = F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{seed}")))
+    share = F.conv(F.substring(draw, 1, 13), 16, 10).cast("double") / float(16**13)
+    drawn = points.withColumns({"_draw": draw, "_share": share})
+    # Ten deviations above the number asked for.
+    enough = (sample + 10 * sample**0.5 + 10) / F.count("*")
+    limits = drawn.groupBy(*keys).agg(enough.alias("_limit"))
+    near = null_safe_join(drawn, limits, keys).withColumn("_near", F.col("_share") <= F.col("_limit"))
+    passed = near.groupBy(*keys).agg((F.sum(F.col("_near").cast("int")) < F.least(F.lit(sample), F.count("*"))).alias("_too_few"))
+    chosen = null_safe_join(near, passed, keys).where("_near OR _too_few")
+    return top_rows(chosen, keys, [F.asc("_draw"), F.asc("id")], sample, "_r").select(*points.columns)
+
+
 def silhouette_samples(
     df: DataFrame, keys: Sequence[str], id_column: str, vector_column: str, metric: str = "euclidean",
     sample: int | None = None, seed: int = 42, block_rows: int = BLOCK_ROWS,
@@ -79,7 +98,7 @@ def silhouette_samples(
     given = keys
     points, keys = _keyed(clustered_points(df, keys, id_column, vector_column, metric), keys)
     if sample:
-        points = top_rows(points, keys, [F.xxhash64("id", F.lit(seed)), F.asc("id")], sample, "_r").drop("_r")
+        points = seeded_sample_of_each(points, keys, sample, seed)
     blocked = blocks.split_into_blocks(points, keys, block_rows)
     kind = points.schema["id"].dataType.simpleString()
     sums = blocks.run_on_pairs(

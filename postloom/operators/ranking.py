@@ -20,7 +20,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     for k, other in mine.items():
         same = F.col(k).eqNullSafe(F.col(other))
         on = same if on is None else on & same
-    return left.join(renamed, on, how).drop(*mine.values())
+    joined = left.join(renamed, on, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*mine.values())
 
 
 def value_positions(df: DataFrame, keys: Sequence[str], value: str, group_rows: int = GROUP_ROWS) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ranking import first_rows
+from ..operators.ranking import first_rows, null_safe_join
 from ..session import cut
 
 
@@ -32,7 +32,7 @@ def assignments_by_niche(assignments: DataFrame, niche: str, version: int | None
     rows = assignments.where(F.col("niche") == niche)
     if version:
         return rows.where(F.col("cluster_version") == version)
-    return rows.orderBy(F.desc("cluster_version"))
+    return rows.orderBy(F.desc("cluster_version"), F.asc("post_id"))  # a version alone would be one task's to sort
 
 
 def posts_with_clusters(posts: DataFrame, assignments: DataFrame, clusters: DataFrame, niche: str, version: int = 1) -> DataFrame:
@@ -129,7 +129,19 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def rewrite(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """As `overwrite_partitions` for a frame that reads the same path: it is made durable first, since a
-    write would otherwise delete files that a retried task still has to read."""
-    overwrite_partitions(cut(df), path, partition_by)
+def upsert(
+    stored: DataFrame, incoming: DataFrame, keys: Sequence[str], replaced: Sequence[str], order: Sequence[Column], path: str,
+    partition_by: Sequence[str],
+) -> None:
+    """`upserted` into the files that `stored` reads. Partitions without a key of the batch keep their files.
+
+    Of the stored rows only keys and partition columns are read to find the partitions that change; those are rewritten
+    whole. New keys go where their partition columns say. The result is made durable first, since a write would
+    otherwise delete files that a retried task still has to read.
+    """
+    fresh = cut(first_rows(incoming, keys, order).select(*stored.columns))
+    held = stored.select(*{*keys, *partition_by}).join(fresh.select(*keys), list(keys), "left_semi").select(*partition_by)
+    # A new key may land in a partition that is stored already; its rows are then rewritten with it.
+    touched = cut(held.unionByName(fresh.select(*partition_by)).distinct())
+    old = null_safe_join(stored, touched, list(partition_by), "left_semi")
+    overwrite_partitions(cut(upserted(old, fresh, keys, replaced, order)), path, partition_by)

@@ -55,12 +55,26 @@ def test_store(spark):
     path = scratch_path(spark, "t")
     store.append(old, path, ["niche"])
     stored = spark.read.schema(old.schema).parquet(path)
-    store.rewrite(store.upserted(stored, new, ["post_id"], ["embedding"], [F.asc("niche")]), path, ["niche"])
+    store.upsert(stored, new, ["post_id"], ["embedding"], [F.asc("niche")], path, ["niche"])
     got = {r["post_id"]: (r["niche"], r["embedding"]) for r in spark.read.schema(old.schema).parquet(path).collect()}
     assert got == {"1": ("a", [1.0]), "2": ("b", [9.0]), "3": ("x", [3.0])}
     assert [r["post_id"] for r in store.rows_to_insert(old, new, [F.asc("niche")]).collect()] == ["3"]
 
 
+def test_upsert_leaves_other_partitions_alone(spark):
+    old = spark.createDataFrame([(str(i), "abcd"[i % 4], [float(i)]) for i in range(40)], schemas.EMBEDDINGS)
+    path = scratch_path(spark, "u")
+    store.append(old, path, ["niche"])
+    stored = spark.read.schema(old.schema).parquet(path)
+    before = set(stored.inputFiles())
+    new = spark.createDataFrame([("1", "x", [9.0]), ("99", "e", [1.0])], schemas.EMBEDDINGS)
+    store.upsert(stored, new, ["post_id"], ["embedding"], [F.asc("niche")], path, ["niche"])
+    after = spark.read.schema(old.schema).parquet(path)
+    kept = before & set(after.inputFiles())
+    assert kept == {f for f in before if "niche=b/" not in f} and after.count() == 41
+    assert {r["post_id"]: r["embedding"] for r in after.collect()}["1"] == [9.0]
+
+
 def _page(*posts):
     return json.dumps({"data": {"after": None, "children": [{"data": p} for p in posts]}})
 
