@@ -52,10 +52,11 @@ def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     n = len(hashes) - length + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for i in range(length):
-        total = mixed(total + hashes[i : i + n], i)
-    return total
+    total = hashes[:n].copy()
+    for i in range(1, length):
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += hashes[i : i + n]
+    return mixed(total, length)
 
 
 def id_key(column: Column | str) -> Column:
