@@ -4,7 +4,8 @@ Documents become ids, then an end id; only a document longer than a sequence is
 lengths (not the texts) are dealt by a hash to shards of about `SHARD_PIECES` pieces, so that the work of a task does
 not grow with the corpus. Inside a shard the pieces come longest first; each goes to the open sequence, or a new one, for
 which the sum over all gaps of (number of open sequences with that gap) squared becomes smallest; of equals the smallest
-gap wins. A shard ends with a few sequences that are not full: about one in a thousand.
+gap wins. The choice keeps gaps of all kinds open for pieces to come; once none come, the emptiest open sequences are given up
+if their pieces fit best into the gaps of others.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed each; a null id stays null; an empty
 table gives no rows; other columns are not read.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,6 +99,45 @@ class OpenSequences:
         return sequence, capacity - gap
 
 
+def give_up_emptiest(sequences: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+    """Sequences (lists of pieces) without those whose pieces fit into the gaps of the others, emptiest first."""
+    gap_of = [capacity - sum(lengths[p] for p in parts) for parts in sequences]
+    gaps = sorted((gap, k) for k, gap in enumerate(gap_of) if gap)
+    for k in sorted(range(len(sequences)), key=lambda k: (-gap_of[k], k)):
+        if not gap_of[k]:
+            break
+        own = (gap_of[k], k)
+        tried = gaps.copy()
+        tried.pop(bisect_left(tried, own))
+        moves = []
+        for piece in sorted(sequences[k], key=lambda p: (-lengths[p], p)):
+            at = bisect_left(tried, (lengths[piece], -1))
+            if at == len(tried):
+                break
+            gap, to = tried.pop(at)
+            moves.append((piece, to))
+            if gap > lengths[piece]:
+                insort(tried, (gap - lengths[piece], to))
+        else:
+            for piece, to in moves:
+                sequences[to].append(piece)
+                gap_of[to] -= lengths[piece]
+            sequences[k], gaps = [], tried
+    return [parts for parts in sequences if parts]
+
+
+def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Sequences of pieces, given by their places in the list. Longest first is up to the caller."""
+    open_sequences = OpenSequences(capacity)
+    sequences: list[list[int]] = []
+    for piece, length in enumerate(lengths):
+        sequence, offset = open_sequences.place(length)
+        if not offset:
+            sequences.append([])
+        sequences[sequence].append(piece)
+    return give_up_emptiest(sequences, lengths, capacity)
+
+
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """The pieces with `sequence_id` and `offset`. `pieces` has doc_id, piece, start, length, ids_crc32 and is read twice."""
     shards = max(1, -(-pieces.count() // shard_pieces))
@@ -104,10 +145,13 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
 
     def pack(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
-        open_sequences = OpenSequences(capacity)
-        placed = np.array([open_sequences.place(n) for n in shard["length"].tolist()], np.int64).reshape(-1, 2)
-        shard["sequence_id"] = (shard["shard"].to_numpy() << 32) + placed[:, 0]
-        shard["offset"] = placed[:, 1]
+        lengths = shard["length"].tolist()
+        sequence, offset = np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64)
+        for k, parts in enumerate(pack_lengths(lengths, capacity)):
+            sequence[parts] = k
+            offset[parts] = np.cumsum([0, *(lengths[p] for p in parts[:-1])])
+        shard["sequence_id"] = (shard["shard"].to_numpy() << 32) + sequence
+        shard["offset"] = offset
         return shard.drop(columns="shard")
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
