@@ -36,6 +36,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def sql_of(name: str) -> str:
+    """SQL of a query registered before."""
+    return _SQL[name]
+
+
 def _load() -> None:
     for module in _MODULES:
         importlib.import_module(f"{__name__}.{module}")

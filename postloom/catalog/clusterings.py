@@ -10,7 +10,7 @@ from ..operators.agglomerative import agglomerative
 from ..plans import experiments, weekly
 from ..sources import fixtures as fx
 from . import _sql as S
-from . import query
+from . import query, sql_of
 from .vectors import _UNIT, _points
 
 
@@ -41,6 +41,17 @@ def points_within_radius(spark, sf):
     return dbscan.near_counts(_points(spark, sf), ["all"], "id", "vector", _EPS, "cosine").drop("all")
 
 
+@query("j7_dbscan_many_blocks", sql_of("j7_dbscan"))
+def dbscan_many_blocks(spark, sf):
+    """The same by way of pairs of blocks."""
+    return dbscan.dbscan(_points(spark, sf), ["all"], "id", "vector", _EPS, 5, "cosine", block_rows=64).drop("all")
+
+
+@query("d8_points_within_radius_many_blocks", sql_of("d8_points_within_radius"))
+def points_within_radius_many_blocks(spark, sf):
+    return dbscan.near_counts(_points(spark, sf), ["all"], "id", "vector", _EPS, "cosine", block_rows=64).drop("all")
+
+
 @query("j3_hdbscan_slices")
 def hdbscan_slices(spark, sf):
     """Clusters of all niches and weeks by density, in one plan."""

@@ -9,7 +9,7 @@ from ..operators import aggregates as agg, keywords as kw, metrics, neighbours,
 from ..plans import experiments
 from ..sources import fixtures as fx
 from . import _sql as S
-from . import query
+from . import query, sql_of as _sql_of
 from ._frames import vector_text
 
 
@@ -87,6 +87,33 @@ def sampled_silhouette(spark, sf):
     return samples.withColumn("silhouette", numbers.rounded(F.col("silhouette"), 6))
 
 
+#: A block of this size makes many blocks of the test vectors: the same answers by way of pairs of blocks.
+_SMALL_BLOCK = 64
+
+
+def _many_blocks(name: str, of: str):
+    """Register a query with the SQL of another one."""
+    return query(name, _sql_of(of))
+
+
+@_many_blocks("d7_nearest_neighbours_many_blocks", "d7_nearest_neighbours")
+def nearest_neighbours_many_blocks(spark, sf):
+    found = neighbours.nearest_neighbours(_points(spark, sf), ["all"], "id", "vector", 5, "cosine", block_rows=_SMALL_BLOCK)
+    return found.select("id", "neighbour", "rank", (F.when(F.col("rank") > 1, numbers.rounded(F.col("distance"), 6)).otherwise(0.0)).alias("distance"))
+
+
+@_many_blocks("g5_distance_curve_many_blocks", "g5_distance_curve")
+def distance_curve_many_blocks(spark, sf):
+    found = neighbours.nearest_neighbours(_points(spark, sf), ["all"], "id", "vector", 5, "cosine", block_rows=_SMALL_BLOCK)
+    return neighbours.kth_distances(found, ["all"], 5).select("id", numbers.rounded(F.col("k_distance"), 6).alias("k_distance"))
+
+
+@_many_blocks("j10_silhouette_samples_many_blocks", "j10_silhouette_samples")
+def silhouette_samples_many_blocks(spark, sf):
+    samples = metrics.silhouette_samples(_points(spark, sf), [], "id", "vector", block_rows=_SMALL_BLOCK)
+    return samples.withColumn("silhouette", numbers.rounded(F.col("silhouette"), 6))
+
+
 @query("j11_calinski_harabasz", S.with_(_LABELLED, _CH) + "SELECT round(v + 1e-9, 6) AS calinski_harabasz FROM ch")
 def calinski_harabasz(spark, sf):
     value = metrics.calinski_harabasz(_points(spark, sf), [], "id", "vector")

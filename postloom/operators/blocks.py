@@ -186,7 +186,7 @@ def run_on_pairs(
 
     def finish(key: tuple, out: pd.DataFrame) -> pd.DataFrame:
         for i, k in enumerate(keys):
-            out.insert(i, k, [key[i]] * len(out))
+            out.insert(i, k, pd.Series([key[i]] * len(out), index=out.index, dtype=object))  # also right without rows
         return out
 
     def single(key, pdf):

@@ -9,6 +9,7 @@ import glob
 import os
 import sys
 import time
+from fnmatch import fnmatch
 
 import duckdb
 
@@ -73,7 +74,7 @@ def main() -> None:
     sf_dir = f"{TESTDATA}/sf{sf}"
     spark = local_session(8)
     queries, sqls = entry.queries(), entry.oracle_sql()
-    names = [n for n in queries if not args or any(n == a or (a.endswith("*") and n.startswith(a[:-1])) for a in args)]
+    names = [n for n in queries if not args or any(fnmatch(n, a) for a in args)]
     failed = 0
     for name in names:
         try:

@@ -206,6 +206,18 @@ def test_agglomerative(spark, linkage, block_rows):
         assert same_partition(part.sort_values("id")["cluster"].tolist(), want.tolist())
 
 
+@pytest.mark.parametrize("linkage", ["ward", "average"])
+def test_agglomerative_ties_do_not_depend_on_blocks(spark, linkage):
+    """A grid of whole numbers: most costs are equal."""
+    from postloom.operators.agglomerative import agglomerative
+
+    rows = [("s", 9 * i + j, [float(i + 1), float(j + 1)]) for i in range(9) for j in range(9)]
+    df = spark.createDataFrame(rows, "slice string, id long, vector array<double>")
+    found = [agglomerative(df, ["slice"], "id", "vector", 7, linkage, b).orderBy("id").collect() for b in (1000, 30)]
+    assert found[0] == found[1]
+    assert len({r["cluster"] for r in found[0]}) == 7
+
+
 def test_methods_find_blobs(spark):
     from postloom.operators import centroid_models, metrics
 
