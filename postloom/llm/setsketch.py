@@ -7,11 +7,12 @@ every register's time, which makes a sketch cost about the size of the set.
 
 1. Documents with equal sets (by size and 128 bits) are one class; its smallest id stands for it.
 2. Bands of registers are hashed; representatives with an equal band meet in a bucket.
-3. Every member of a bucket is paired with its first member; a joint likelihood of the two sketches drops pairs far
-   below the threshold, and the rest is confirmed on the full sets.
-4. Links form components. A bucket whose members lie in several components pairs the members outside its largest one with
-   those of the others; these pairs are confirmed as well. Pairs inside a component cannot change it. So components are
-   those of all candidate pairs, and no bucket is expanded into all its pairs.
+3. Every member of a bucket is paired with its most central member, the one that meets most others in all its buckets; a
+   joint likelihood of the two sketches drops pairs far below the threshold, and the rest is confirmed on the full sets.
+4. Links form components. Pairs inside one cannot change it, so what is left are pairs between components that meet in a
+   bucket. Components that meet form a cluster; in it, documents outside the largest component are compared with all
+   others, in tiles of two blocks of documents: a task estimates all pairs of a tile, confirms the likely ones that are
+   not united yet, and gives back links only. So components are those of all candidate pairs, and pairs are never rows.
 
 The band width follows from the threshold: the widest whose chance to miss a pair at the threshold is below `MISS`.
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import cut, ship_package
+from ..session import cut, release, ship_package
 from .common import NO_ID, WordHashes, id_key, map_rows, mixed, run_hashes, text_bytes, words
 
 SHINGLE = 5
@@ -39,6 +40,7 @@ REGISTERS = 400
 BASE = 1.001
 LOWEST = -20_000  # register values start here: x up to b ** 20000
 MISS = 1e-6
+TILE = 256  # documents of a block
 
 
 def band_width(threshold: float, registers: int = REGISTERS) -> int:
@@ -129,9 +131,13 @@ def sketches(docs: DataFrame, width: int, registers: int = REGISTERS, length: in
     return map_rows(docs, rows, "id long, n long, d1 long, d2 long, bands array<long>, registers binary", arrow)
 
 
+def _least(threshold: float, registers: int) -> float:
+    return threshold - 6 * np.sqrt(threshold * (1 - threshold) / registers)
+
+
 def _likely(pairs: DataFrame, made: DataFrame, threshold: float, registers: int) -> DataFrame:
     """Pairs whose joint likelihood is highest less than six deviations below the threshold."""
-    least = threshold - 6 * np.sqrt(threshold * (1 - threshold) / registers)
+    least = _least(threshold, registers)
     side = lambda c: made.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,36 +174,111 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, length: int) ->
     return map_rows(joined, rows, "a long, b long", pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
 
+def _cross_links(placed: DataFrame, made: DataFrame, source: DataFrame, percent: int, registers: int, length: int) -> DataFrame:
+    """Links between components that meet in a bucket. `placed`: band, id, component."""
+    spark = placed.sparkSession
+    main = cut(
+        placed.groupBy("band", "component").agg(F.count("*").alias("members")).groupBy("band")
+        .agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("parts"))
+        .where("parts > 1").select("band", "main"))
+    still = cut(placed.join(main, "band").select("id", "component", "main").distinct())
+    met = cut(still.where("component <> main").select(F.col("component").alias("u"), F.col("main").alias("v")).distinct())
+    cluster = cut(connected_components(met, []).select(F.col("id").alias("component"), F.col("component").alias("cluster")))
+    docs = cut(still.select("id", "component").distinct().join(cluster, "component"))
+    largest = (
+        docs.groupBy("cluster", "component").agg(F.count("*").alias("members")).groupBy("cluster")
+        .agg(F.max_by("component", F.struct("members", "component")).alias("largest"), F.sum("members").alias("members")))
+    # A block has about TILE documents; blocks of the documents outside the largest component meet all blocks.
+    block = F.pmod(F.xxhash64("id", F.lit("block")), F.ceil(F.col("members") / TILE)).cast("int")
+    dealt = cut(docs.join(cut(largest), "cluster").select("cluster", "id", "component", (F.col("component") != F.col("largest")).alias("outside"), block.alias("block")))
+    release(spark, main, still, met, cluster)
+    documents = cut(dealt.join(made.select("id", "n", "registers"), "id").join(source, "id"))
+    sizes = dealt.groupBy("cluster").agg(F.collect_set(F.when(F.col("outside"), F.col("block"))).alias("left"), F.collect_set("block").alias("right"))
+    tiles = cut(sizes.select("cluster", F.explode("left").alias("left"), "right").select("cluster", "left", F.explode("right").alias("right")))
+    tile = ["cluster", "left", "right"]
+    lefts = documents.where("outside").withColumnRenamed("block", "left").join(tiles, ["cluster", "left"])
+    rights = documents.withColumnRenamed("block", "right").join(tiles, ["cluster", "right"])
+
+    def links(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = list(_tile_links(left.to_pylist(), right.to_pylist(), WordHashes(200_000), percent, registers, length))
+        return pa.table({c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate("ab")})
+
+    # Both sides come from one table; the right one gets columns of its own.
+    columns = [*tile, "id", "component", "outside", "n", "registers", "text"]
+    own = rights.select(*(F.col(c).alias(f"r_{c}") for c in columns)).select(*(F.col(f"r_{c}").alias(c) for c in columns))
+    return lefts.select(*columns).groupBy(*tile).cogroup(own.groupBy(*tile)).applyInArrow(links, "a long, b long")
+
+
+def _tile_links(left: list[dict], right: list[dict], cache: WordHashes, percent: int, registers: int, length: int) -> Iterator[tuple[int, int]]:
+    """Links that unite components of a tile."""
+    least = _least(percent / 100, registers)
+    values = lambda side: np.frombuffer(b"".join(bytes(d["registers"]) for d in side), np.uint16).reshape(-1, registers).astype(np.int32)
+    sizes = lambda side: np.array([d["n"] for d in side], np.float64)
+    of = lambda side: np.array([d["component"] for d in side], np.int64)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    sets: dict[int, np.ndarray] = {}
+
+    def elements(d: dict) -> np.ndarray:
+        if id(d) not in sets:
+            sets[id(d)] = shingles(words(bytes(d["text"]).lower()), cache, length)
+        return sets[id(d)]
+
+    if not left or not right:
+        return
+    right_values, right_sizes, right_of = values(right), sizes(right), of(right)
+    for d, mine, n, own in zip(left, values(left), sizes(left), of(left)):
+        other = np.flatnonzero((right_of != own) & (np.minimum(right_sizes, n) * 100 >= percent * np.maximum(right_sizes, n)))
+        if not len(other):
+            continue
+        a = np.broadcast_to(mine, (len(other), registers))
+        likely = likely_similarity(a, right_values[other], np.full(len(other), n), right_sizes[other])
+        for k in other[likely >= least].tolist():
+            x, y = find(int(own)), find(int(right_of[k]))
+            if x == y:
+                continue
+            both = len(np.intersect1d(elements(d), elements(right[k]), assume_unique=True))
+            if 100 * both >= percent * (n + right_sizes[k] - both):
+                root[max(x, y)] = min(x, y)
+                yield min(d["id"], right[k]["id"]), max(d["id"], right[k]["id"])
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text", registers: int = REGISTERS, length: int = SHINGLE
 ) -> DataFrame:
     """id, n_shingles, component_id (smallest linked id). Links: 100 * intersection >= percent * union of the sets."""
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     width = band_width(percent / 100, registers)
     source = docs.select(id_key(doc_id).alias("id"), text_bytes(text).alias("text"))
     made = cut(sketches(source, width, registers, length))
     classes = cut(made.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("class")))
     firsts = made.join(classes.select(F.col("class").alias("id")).distinct(), "id", "left_semi")
     banded = lambda: firsts.select("id", F.explode("bands").alias("band"))
-    buckets = cut(banded().groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("band", "first"))
-    members = cut(banded().join(buckets, "band").select("band", "first", "id"))
-    stars = cut(members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
+    buckets = cut(
+        banded().groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("size"))
+        .where("low < high").select("band", "size"))
+    members = cut(banded().join(buckets, "band").select("band", "id", "size"))
+    release(spark, buckets)
+    meets = cut(members.groupBy("id").agg(F.sum("size").alias("meets")))
+    centres = cut(
+        members.join(meets, "id").groupBy("band").agg(F.min(F.struct((-F.col("meets")).alias("m"), "id")).alias("c"))
+        .select("band", F.col("c.id").alias("centre")))
+    stars = cut(
+        members.join(centres, "band").where("id <> centre")
+        .select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct())
     links = cut(_confirmed(cut(_likely(stars, made, percent / 100, registers)), source, percent, length))
+    release(spark, meets, centres, stars)
     component = cut(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), []))
-
     placed = cut(members.join(component, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component")))
-    sizes = placed.groupBy("band", "component").agg(F.count("*").alias("members"))
-    main = cut(
-        sizes.groupBy("band").agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("parts"))
-        .where("parts > 1").select("band", "main"))
-    still = cut(placed.join(main, "band"))
-    outside = still.where("component <> main").select("band", F.col("id").alias("x"), F.col("component").alias("cx"))
-    others = still.select("band", F.col("id").alias("y"), F.col("component").alias("cy"))
-    crossing = (
-        outside.join(others, ["band"]).where("cx <> cy")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    )
-    more = cut(_confirmed(cut(_likely(cut(crossing), made, percent / 100, registers)), source, percent, length))
+    more = cut(_cross_links(placed, made, source, percent, registers, length))
+    release(spark, members, placed)
     every = cut(connected_components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")), []))
 
     of_class = cut(classes.join(every, classes["class"] == every["id"], "left").select(
