@@ -99,7 +99,14 @@ def ward_per_class(spark, sf):
 
 @query("j16_k_sweep")
 def k_sweep(spark, sf):
-    return centroid_models.k_sweep(_points(spark, sf), "id", "vector", range(2, 8), starts=2)
+    """Every k from 2 to 20, ten starts each."""
+    return centroid_models.k_sweep(_points(spark, sf), "id", "vector")
+
+
+@query("g4_best_k")
+def best_k(spark, sf):
+    """The best k of the sweep by either metric."""
+    return centroid_models.best_k(centroid_models.k_sweep(_points(spark, sf), "id", "vector"))
 
 
 @query("j17_grid_search")
