@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import centroid_models, dbscan, hdbscan
-from ..operators.agglomerative import agglomerative
+from ..functions import numbers
+from ..operators import blocks, centroid_models, dbscan, hdbscan
+from ..operators.agglomerative import agglomerative, merge_table
 from ..plans import experiments, weekly
 from ..sources import fixtures as fx
 from . import _sql as S
@@ -90,6 +91,19 @@ def average_cosine(spark, sf):
     return agglomerative(_points(spark, sf), ["all"], "id", "vector", 10, "average").drop("all")
 
 
+@query("j6_ward_heights", """
+WITH comps AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+cents AS (SELECT label, pos, avg(x) AS c FROM comps GROUP BY label, pos)
+SELECT label AS class, round(sum((x - c) * (x - c)) + 1e-9, 4) AS inertia FROM comps JOIN cents USING (label, pos) GROUP BY label""")
+def ward_heights(spark, sf):
+    """Half the squared costs of all merges of a class add up to its inertia. Blocks are small, so merges are
+    done in rounds and in a chain."""
+    points = _points(spark, sf).withColumnRenamed("cluster", "class")
+    copies = blocks.collapse_copies(blocks.prepare(points, ["class"], "id", "vector", "euclidean"), ["class"])
+    history = merge_table(copies.distinct.withColumnRenamed("copies", "n"), ["class"], "ward", block_rows=32)
+    return history.groupBy("class").agg(numbers.rounded(F.sum(F.col("cost") * F.col("cost")) / 2, 4).alias("inertia"))
+
+
 @query("j6_ward_per_class")
 def ward_per_class(spark, sf):
     """Two clusters inside each class: all slices in one plan."""

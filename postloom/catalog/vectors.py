@@ -226,6 +226,17 @@ def plane_coordinates(spark, sf):
     return _coordinates(reduction.pca(_points(spark, sf), "id", "vector", 2).rows)
 
 
+@query("j9_kept_distances", """
+WITH comps AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+mid AS (SELECT pos, avg(x) AS m FROM comps GROUP BY pos)
+SELECT vec_id AS id, round(sum((x - m) * (x - m)) + 1e-9, 6) AS squared FROM comps JOIN mid USING (pos) GROUP BY vec_id""")
+def kept_distances(spark, sf):
+    """With all components the coordinates keep every squared distance from the mean."""
+    rows = reduction.pca(_points(spark, sf), "id", "vector", 64).rows
+    squared = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    return rows.select("id", numbers.rounded(squared, 6).alias("squared"))
+
+
 @query("i8_truncated_svd")
 def truncated_svd(spark, sf):
     """TF-IDF of all documents in 100 dimensions, brought to unit length."""
