@@ -136,21 +136,6 @@ def weekly_volume(spark, sf):
     return volume.withColumn("week_end", F.date_format("week_end", "yyyy-MM-dd"))
 
 
-@query("e11_cluster_summary", S.with_(S.NOISY, _REPORT_SQL) + """
-SELECT cluster, posts, avg_engagement, total_engagement, dominant_topic FROM report JOIN top USING (cluster)
-ORDER BY posts DESC, cluster LIMIT 15""")
-def cluster_summary(spark, sf):
-    return agg.cluster_report(fx.noisy_posts(spark, sf)).orderBy(F.desc("posts"), "cluster").limit(15)
-
-
-@query("e12_trend_report", S.with_(S.NOISY, _REPORT_SQL) + f"""
-SELECT cluster, posts, avg_engagement, total_engagement, dominant_topic, {S.stamp('first_seen')} AS first_seen, {S.stamp('last_seen')} AS last_seen
-FROM report JOIN top USING (cluster) ORDER BY total_engagement DESC""")
-def trend_report(spark, sf):
-    report = agg.cluster_report(fx.noisy_posts(spark, sf), with_times=True)
-    return stamped(report.orderBy(F.desc("total_engagement"), "cluster"), "first_seen", "last_seen")
-
-
 @query("e13_dominant_niche", S.with_(S.NOISY, _REPORT_SQL) + "SELECT * FROM top")
 def dominant_niche(spark, sf):
     return agg.dominant(fx.noisy_posts(spark, sf).where("cluster <> -1"), ["cluster"], "niche", "dominant_topic")
