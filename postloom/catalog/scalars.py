@@ -8,7 +8,8 @@ from .. import config
 from ..functions import dates, numbers, text, vectors
 from ..functions.stopwords import default_stop_words
 from ..operators import aggregates as agg
-from ..sources import fixtures as fx
+from ..session import scratch_path
+from ..sources import files, fixtures as fx, schemas
 from . import _sql as S
 from . import query
 from ._frames import stamp, vector_text
@@ -19,14 +20,26 @@ _SPACE = text.SPACE
 
 
 @query("b1_record_defaults", S.with_(S.POSTS) + """
-SELECT post_id, CASE WHEN author = '0' THEN '[deleted]' ELSE author END AS author, '' AS url, '' AS selftext,
-  false AS is_video, upvote_ratio FROM posts""")
+SELECT post_id, CASE WHEN author = '0' THEN '[deleted]' ELSE author END AS author,
+  CASE WHEN num_comments % 2 = 0 THEN 'https://example.com/' || post_id ELSE '' END AS url,
+  CASE WHEN num_comments % 3 = 0 THEN 'Body of ' || post_id ELSE '' END AS selftext, num_comments % 4 = 0 AS is_video, upvote_ratio
+FROM posts""")
 def record_defaults(spark, sf):
-    posts = fx.posts(spark, sf).withColumn("author", F.when(F.col("author") != "0", F.col("author")))
-    return posts.select(
-        "post_id", F.coalesce("author", F.lit("[deleted]")).alias("author"),
-        F.lit("").alias("url"), F.lit("").alias("selftext"), F.lit(False).alias("is_video"), "upvote_ratio",
+    """Records of listing pages in which author, link, body and video flag may be missing."""
+    n = F.col("num_comments")
+    record = F.struct(
+        F.col("post_id").alias("id"),
+        F.when(F.col("author") != "0", F.col("author")).alias("author"),
+        F.when(n % 2 == 0, F.concat(F.lit("https://example.com/"), "post_id")).alias("url"),
+        F.when(n % 3 == 0, F.concat(F.lit("Body of "), "post_id")).alias("selftext"),
+        F.when(n % 4 == 0, F.lit(True)).alias("is_video"),
+        "upvote_ratio",
     )
+    page = F.struct(F.lit(None).cast("string").alias("after"), F.array(F.struct(record.alias("data"))).alias("children"))
+    path = scratch_path(spark, "records")
+    files.write_json_rows(fx.posts(spark, sf).select(F.lit("new").alias("listing"), page.alias("data")), path, ["listing"])
+    pages = spark.read.schema(schemas.LISTING_PAGE + ", listing string").json(path)
+    return files.posts_of_pages(pages, "listing").select("post_id", "author", "url", "selftext", "is_video", "upvote_ratio")
 
 
 @query("b2_epoch_time", f"""
@@ -239,13 +252,13 @@ def cosine(spark, sf):
 @query("b24_unit_vectors", f"""
 WITH n AS (SELECT vec_id, label, [x * (label + 1) FOR x IN embedding] AS v FROM embeddings),
 l AS (SELECT *, sqrt(list_sum([CAST(x AS DOUBLE) * x FOR x IN v])) AS len FROM n)
-SELECT vec_id, round(len, 5) AS length, round(list_sum([x / len * x / len FOR x IN v]), 6) AS unit FROM l""")
+SELECT vec_id, round(len, 5) AS length, {S.vector_text('[x / len FOR x IN v]')} AS unit FROM l""")
 def unit_vectors(spark, sf):
     scaled = F.transform("embedding", lambda x: x * (F.col("label") + 1).cast("float"))
     rows = fx.embeddings(spark, sf).select("vec_id", scaled.alias("v"))
     unit = vectors.l2_normalised(F.col("v"))
-    return rows.select(
-        "vec_id", F.round(vectors.norm(F.col("v")), 5).alias("length"), F.round(vectors.dot(unit, unit), 6).alias("unit")
+    return rows.select("vec_id", F.round(vectors.norm(F.col("v")), 5).alias("length"), unit.alias("unit")).select(
+        "vec_id", "length", vector_text("unit")
     )
 
 
