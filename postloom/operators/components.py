@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, discard
 
 
 def connected_components(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -23,31 +23,42 @@ def connected_components(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
         *keys, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
     while True:
-        links = cut(_small_star(cut(_large_star(links, keys)), keys))
-        after = tuple(links.agg(
+        low = cut(_smallest_around(links, keys))
+        large = cut(_large_star(links, low, keys))
+        least = cut(large.groupBy(*keys, "u").agg(F.min("v").alias("m")))
+        after = cut(_small_star(large, least, keys))
+        discard(links, low, large, least)
+        links = after
+        state = tuple(links.agg(
             F.count("*"), F.sum(F.xxhash64(*keys, "u", "v").cast("decimal(38,0)"))
         ).first())
-        if after == before or after[0] == 0:
+        if state == before or state[0] == 0:
             break
-        before = after
+        before = state
     roots = links.select(*keys, F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return links.select(*keys, F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _large_star(links: DataFrame, keys: list[str]) -> DataFrame:
+def _both_ways(links: DataFrame, keys: list[str]) -> DataFrame:
+    return links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
+
+
+def _smallest_around(links: DataFrame, keys: list[str]) -> DataFrame:
+    """The smallest among a node and its neighbours."""
+    return _both_ways(links, keys).groupBy(*keys, "u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+
+
+def _large_star(links: DataFrame, low: DataFrame, keys: list[str]) -> DataFrame:
     """Link the larger neighbours of a node to the smallest among its neighbours and itself."""
-    both = links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
-    smallest = cut(both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
     return (
-        both.where(F.col("v") > F.col("u")).join(smallest, [*keys, "u"])
+        _both_ways(links, keys).where(F.col("v") > F.col("u")).join(low, [*keys, "u"])
         .select(*keys, F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
     )
 
 
-def _small_star(links: DataFrame, keys: list[str]) -> DataFrame:
+def _small_star(links: DataFrame, least: DataFrame, keys: list[str]) -> DataFrame:
     """Link the smaller neighbours of a node, and the node, to the smallest of them. Links point from the
     larger to the smaller id already."""
-    smallest = cut(links.groupBy(*keys, "u").agg(F.min("v").alias("m")))
-    neighbours = links.join(smallest, [*keys, "u"]).select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
-    own = smallest.select(*keys, "u", F.col("m").alias("v"))
+    neighbours = links.join(least, [*keys, "u"]).select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
+    own = least.select(*keys, "u", F.col("m").alias("v"))
     return neighbours.unionByName(own).where("u <> v").distinct()

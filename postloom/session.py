@@ -89,14 +89,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, *tables: DataFrame) -> None:
-    """Give disk back between the steps of a long job: delete tables made by `cut` that nobody reads any more, and ask the
-    JVM to collect, so that Spark's cleaner drops the shuffle files of finished steps (it does so by itself every half hour)."""
-    root = _work_folder(spark)
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by `cut` that nobody reads any more."""
     for table in tables:
+        spark = table.sparkSession
+        own = f"/{_work_folder(spark).rpartition('/')[2]}/"
         for folder in {path.rpartition("/")[0] for path in table.inputFiles()}:
-            at = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            if f"/{root.rpartition('/')[2]}/" in folder:  # only what this session wrote
+            if own in folder:  # only what this session wrote
+                at = spark._jvm.org.apache.hadoop.fs.Path(folder)
                 at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Give disk back between the steps of a long job: discard these tables, and ask the
+    JVM to collect, so that Spark's cleaner drops the shuffle files of finished steps (it does so by itself every half hour)."""
+    discard(*tables)
     gc.collect()
     spark._jvm.System.gc()

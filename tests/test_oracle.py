@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 # The sweep over 350 settings and the comparisons are run by the tests of the operators.
-SLOW = {"j17_grid_search", "j19_full_comparison", "j19_weekly_comparison", "i8_truncated_svd", "j5_gaussian_mixture", "j16_k_sweep"}
+SLOW = {"j17_grid_search", "j19_full_comparison", "j19_weekly_comparison"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
