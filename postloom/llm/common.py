@@ -22,12 +22,17 @@ def words(text: bytes) -> list[bytes]:
     return text.split()
 
 
+#: What a worker process keeps between its tasks. A worker may go on with another operator, which then needs the memory.
+KEPT: dict = {}
+
+
 class WordHashes(dict):
     """64-bit hash of each word, kept for the words seen last."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
+        KEPT.clear()
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import map_rows, mixed
+from .common import KEPT, map_rows
 
 UNKNOWN = "und"
 FEATURES = 1 << 15
@@ -90,6 +90,7 @@ def _document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     """In how many documents each feature is; a task sends one row for each feature it has seen."""
 
     def count(each: Iterator[dict]) -> Iterator[tuple]:
+        KEPT.clear()
         seen = np.zeros(FEATURES, np.int64)
         documents = 0
         for row in each:

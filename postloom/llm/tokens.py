@@ -13,6 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from .common import KEPT
+
 # Letters of ASCII and Latin-1, with or without one stop or comma: one word for the splitter, and its mark.
 _PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+[.,]?\Z")
 _JOINED = 64
@@ -109,14 +111,12 @@ class LibraryIds(RunCache):
         return [b"".join(f) for f in self.found(texts)]
 
 
-_LOADED: dict = {}
-
-
 def per_worker(kind: type, path: str):
-    """One cache per worker process, used again by its later tasks."""
-    if (kind, path) not in _LOADED:
-        _LOADED[kind, path] = kind(path)
-    return _LOADED[kind, path]
+    """One cache per worker process, used again by its later tasks, until another operator runs there."""
+    if (kind, path) not in KEPT:
+        KEPT.clear()
+        KEPT[kind, path] = kind(path)
+    return KEPT[kind, path]
 
 
 def groups_of(rows: Iterator[dict], column: str, most_rows: int = 256, most_bytes: int = 4_000_000) -> Iterator[list[dict]]:
