@@ -160,3 +160,37 @@ def test_graph_recall_and_wide_beams():
     ten = -np.partition(-sims, 9, axis=1)[:, 9]
     found = graph.nearest(q, 96)[1]
     assert (found >= ten[:, None] - 1e-6).sum() >= 0.9 * (sims >= ten[:, None] - 1e-6).sum()
+
+
+def test_audit_sees_lost_links_beside_a_hot_group(tmp_path):
+    r = np.random.default_rng(11)
+    x = r.normal(0, 1, (3000, 24))
+    x[:1000] = x[0] + r.normal(0, 0.1, (1000, 24))
+    x[1000:1040] = x[2000:2040] + r.normal(0, 0.1, (40, 24))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    graph = small_world.Graph.build(x)
+    for what, array in (("ids", np.arange(3000)), ("copies", np.ones(3000, np.int64)), ("raw", x), ("units", x)):
+        small_world.save_array(str(tmp_path), f"s-{what}", array)
+    for cut in (False, True):
+        if cut:  # no link leads to twenty of the copies
+            graph.links[0][np.isin(graph.links[0], np.arange(1000, 1020))] = -1
+        for k, links in enumerate(graph.links):
+            small_world.save_array(str(tmp_path), f"s-links{k}", links)
+        needed = small_world._beam_needed(small_world.Shard(str(tmp_path), "s"), x, np.arange(3000), 0.9)
+        assert (needed > small_world.WIDEST) == cut
+    wanted = np.minimum((x @ x.T >= 0.9).sum(1), 96)
+    assert (graph.nearest(x, 96)[1] >= 0.9).sum() >= 0.995 * wanted.sum()  # summed over queries, nothing is seen
+
+
+def test_near_vectors_in_shards_wider_than_a_beam(spark, monkeypatch):
+    monkeypatch.setattr(small_world, "SHARDS", 2)
+    r = np.random.default_rng(12)
+    x = r.normal(0, 1, (1200, 24))
+    x[:300] = x[0] + r.normal(0, 0.1, (300, 24))
+    x[400:500] = x[700:800] + r.normal(0, 0.2, (100, 24))
+    x = np.float32(x)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {v.vec_id: v.n_links for v in small_world.near_vector_rows(df).collect()}
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    assert [got[k] for k in range(len(x))] == ((u @ u.T >= 0.9).sum(1) - 1).tolist()
