@@ -6,9 +6,13 @@ spans are equal, and a binary search over that finds the longest common extensio
 
 A fingerprint keeps a grid of prefix hashes: the block size is the smallest power of two that cuts the text into at most
 `BLOCKS` blocks, and the hashes of the prefixes and the suffixes whose lengths are multiples of it are written down with
-the text's length. Multiples of the larger of two block sizes are on both grids, so the longest common prefix
-and suffix of two texts are found from their fingerprints by binary search, to a block. Their likeness is the share of the
-longer text that these cover; equal fingerprints have likeness 1.
+the text's length. It also keeps the text cut into chunks at places that its own code points choose (about two for each block), so
+that equal passages are cut alike wherever they are.
+
+Two texts share what their fingerprints show to be equal: a common beginning and end, found by binary search on the grids; spans of
+a block from any place of either grid, by differences of its hashes; and chunks. Spans and chunks may be anywhere, and
+have at least `LEAST_SPAN` code points. The likeness is the share of the longer text that is covered so, in the text where that is
+less; equal fingerprints have likeness 1. An edit hides about the chunk it is in, unless a span of the grid has the rest.
 
 The next document (ascending id, after the last the first) is needed for the edited text. Documents are split by ranges
 of ids into shards, each sorted; the first document of a shard also goes to the end of the shard before it. The
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +34,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, ship_package
-from .common import NO_ID, id_key, map_rows
+from .common import NO_ID, id_key, map_rows, mixed
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003, 1_299_709)
 BLOCKS = 32
 SHARD_ROWS = 4_000
+LEAST_SPAN = 16  # code points; also the window that places of cuts are chosen by
 KNOTS = 256
 SHARD_BYTES = 16_000_000
 
@@ -54,6 +60,7 @@ class Powers:
 
 
 _POWERS = [Powers(b, p) for b, p in zip(BASES, PRIMES)]
+_BACK = Powers(pow(BASES[0], -1, PRIMES[0]), PRIMES[0])
 
 
 def code_points(text: str) -> np.ndarray:
@@ -96,16 +103,46 @@ class PrefixHashes:
 
     def normal(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Hashes of spans by the first prime, as if they began the text: equal spans have equal numbers anywhere."""
-        powers = _POWERS[0]
-        p = powers.prime
+        p = _POWERS[0].prime
         span = (self.sums[0][right] + p - self.sums[0][left]) % p
-        inverse = pow(powers.base, -1, int(p))
-        back = np.array([pow(inverse, int(k), int(p)) for k in left], np.uint64)
-        return span * back % p
+        return span * _BACK.upto(self.size + 1)[left] % p
+
+
+def _cut_level(block: int) -> int:
+    """Cuts of this level are half a block apart on average, and at least `LEAST_SPAN`."""
+    return max(block // 2, LEAST_SPAN).bit_length() - 1
+
+
+def _cuts(hashes: PrefixHashes, block: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places inside the text and their levels; the window that begins there decides alone.
+
+    A level says how rare the window is: the places of a larger block are those of a higher level. Places in a passage that
+    repeats itself within a window are left out; where one window comes again and again, only rarer ones are cuts.
+    """
+    n = hashes.size
+    if n <= 2 * LEAST_SPAN:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    p = _POWERS[0].prime
+    sums = hashes.sums[0]
+    windows = (sums[LEAST_SPAN:] + p - sums[:-LEAST_SPAN]) % p * _BACK.upto(n + 1)[: n + 1 - LEAST_SPAN] % p
+    mix = mixed(windows)
+    level = _cut_level(block)
+    at = np.flatnonzero(mix & np.uint64((1 << level) - 1) == 0)
+    at = at[at > 0]
+    before = at[:, None] - np.arange(1, LEAST_SPAN + 1)
+    at = at[~((before >= 0) & (windows[np.maximum(before, 0)] == windows[at, None])).any(1)]
+    low = mix[at] & (~mix[at] + np.uint64(1))  # the lowest bit that is set
+    levels = np.minimum(np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64), 62)
+    levels[low == 0] = 62
+    while len(at) > most:
+        level += 1
+        at, levels = at[levels >= level], levels[levels >= level]
+    return at, levels
 
 
 def fingerprint(text: str, blocks: int = BLOCKS) -> str:
-    """Length, block size, hash of the whole, grid of the prefixes, grid of the suffixes (8 hex digits for each block)."""
+    """Length, block size, hash of the whole, grid of the prefixes, grid of the suffixes, and of the
+    chunks the levels of the cuts at their ends, hashes and lengths (8 hex digits for each block or chunk)."""
     points = code_points(text)
     n, block = len(points), 1
     while block * blocks < n:
@@ -113,9 +150,12 @@ def fingerprint(text: str, blocks: int = BLOCKS) -> str:
     hashes = PrefixHashes(points)
     ends = np.arange(block, n + 1, block)
     starts = np.zeros(len(ends), np.int64)
-    grids = ("".join(f"{h:08x}" for h in g.tolist()) for g in (hashes.normal(starts, ends), hashes.normal(n - ends, starts + n)))
+    grids = [hashes.normal(starts, ends), hashes.normal(n - ends, starts + n)]
     whole = "".join(f"{int(s[-1]):08x}" for s in hashes.sums)
-    return f"{n}:{block}:{whole}:" + ":".join(grids)
+    at, levels = _cuts(hashes, block, 4 * blocks)
+    bounds = np.concatenate([[0], at, [n]])
+    chunks = [np.append(levels, 63), hashes.normal(bounds[:-1], bounds[1:]), np.diff(bounds)]
+    return f"{n}:{block}:{whole}:" + ":".join(x.astype(">u4").tobytes().hex() for x in (*grids, *chunks))
 
 
 def _shared(a: str, block_a: int, b: str, block_b: int, most: int) -> int:
@@ -129,16 +169,62 @@ def _shared(a: str, block_a: int, b: str, block_b: int, most: int) -> int:
     return low * step
 
 
+def _numbers(digits: str) -> np.ndarray:
+    return np.frombuffer(bytes.fromhex(digits), ">u4").astype(np.uint64)
+
+
+@lru_cache(64)
+def _passages(mark: str, size: int, level: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """Where a fingerprint shows what: start and end by hash and length, of the spans of `size` (whole blocks) from every place of
+    both grids, and of the chunks between cuts of at least this level."""
+    n, block, _, *digits = mark.split(":")
+    n, block = int(n), int(block)
+    heads, tails, levels, hashes, sizes = map(_numbers, digits)
+    p, step = _POWERS[0].prime, size // block
+    out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    if len(heads) >= step:
+        h, t = np.append(np.uint64(0), heads), np.append(np.uint64(0), tails)
+        starts = np.arange(len(h) - step) * block
+        found = (h[step:] + p - h[:-step]) % p * _BACK.upto(n + 1)[starts] % p
+        more = (t[step:] + p - t[:-step] * np.uint64(pow(BASES[0], size, PRIMES[0])) % p) % p
+        places = np.concatenate([starts, n - starts - size]).tolist()
+        for key, start in zip(np.concatenate([found, more]).tolist(), places):
+            out.setdefault((key, size), []).append((start, start + size))
+    start, at, total = 0, 0, 0
+    for end, own, length in zip((levels >= level).tolist(), hashes.tolist(), sizes.tolist()):
+        total = (total + own * pow(BASES[0], at - start, PRIMES[0])) % PRIMES[0] if at > start else own
+        at += length
+        if end:
+            if at - start >= LEAST_SPAN:
+                out.setdefault((total, at - start), []).append((start, at))
+            start, total = at, 0
+    return out
+
+
+def _covered(parts: list[tuple[int, int]]) -> int:
+    total = reached = 0
+    for start, end in sorted(parts):
+        total += max(0, end - max(start, reached))
+        reached = max(reached, end)
+    return total
+
+
 def likeness(a: str, b: str) -> float:
-    """0 to 1: the share of the longer text that a common beginning and end cover."""
+    """0 to 1: the share of the longer text that is covered by what the fingerprints show to be in both."""
     if a == b:
         return 1.0
-    (na, ka, _, fa, ra), (nb, kb, _, fb, rb) = a.split(":"), b.split(":")
+    (na, ka, _, fa, ra, *_), (nb, kb, _, fb, rb, *_) = a.split(":"), b.split(":")
     na, ka, nb, kb = int(na), int(ka), int(nb), int(kb)
     if not na or not nb:
         return 0.0
-    covered = _shared(fa, ka, fb, kb, min(na, nb)) + _shared(ra, ka, rb, kb, min(na, nb))
-    return min(covered, na, nb, max(na, nb) - 1) / max(na, nb)
+    head, tail = _shared(fa, ka, fb, kb, min(na, nb)), _shared(ra, ka, rb, kb, min(na, nb))
+    parts_a, parts_b = [(0, head), (na - tail, na)], [(0, head), (nb - tail, nb)]
+    block = max(ka, kb)
+    in_a, in_b = (_passages(x, max(block, LEAST_SPAN), _cut_level(block)) for x in (a, b))
+    for key in in_a.keys() & in_b.keys():
+        parts_a += in_a[key]
+        parts_b += in_b[key]
+    return min(_covered(parts_a), _covered(parts_b), max(na, nb) - 1) / max(na, nb)
 
 
 def edited(text: str, following: str) -> str:

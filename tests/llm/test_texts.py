@@ -161,3 +161,34 @@ def test_spans_and_extensions():
     near = fingerprints.likeness(fingerprints.fingerprint(x), fingerprints.fingerprint(y[2:]))
     assert 0.85 < near < 1
     assert fingerprints.likeness(fingerprints.fingerprint("abc"), fingerprints.fingerprint("")) == 0
+
+
+def test_likeness_of_near_copies_with_scattered_edits():
+    r = np.random.default_rng(8)
+    for size in (300, 700, 3000):
+        words_of = [f"{w}{k}" for k, w in zip(r.integers(0, 10_000, size), r.choice(["ab", "cde", "fghi", "é"], size))]
+        text = " ".join(words_of)
+        for edits, least in ((2, 0.8), (4, 0.65)):
+            for kind in ("equal", "longer", "gone", "mixed"):
+                new = list(words_of)
+                for k in range(edits):
+                    at = int(size * (2 * k + 1) / (2 * edits))
+                    new[at] = {"equal": "#" * len(new[at]), "longer": new[at] + "more", "gone": "", "mixed": ["", "x" * 9][k % 2]}[kind]
+                other = " ".join(new)
+                got = fingerprints.likeness(*(fingerprints.fingerprint(x) for x in (text, other)))
+                # By brute force: the places of runs of 16 code points that the other text has, too.
+                share = []
+                for x, y in ((text, other), (other, text)):
+                    runs = {y[i : i + 16] for i in range(len(y) - 15)}
+                    seen = np.zeros(len(x), bool)
+                    for i in range(len(x) - 15):
+                        if x[i : i + 16] in runs:
+                            seen[i : i + 16] = True
+                    share.append(seen.sum())
+                assert least <= got <= min(share) / max(len(text), len(other)) + 1e-9, (size, edits, kind, got)
+        far = " ".join(f"q{k}z" for k in r.integers(0, 10_000, size))
+        assert fingerprints.likeness(fingerprints.fingerprint(text), fingerprints.fingerprint(far)) == 0
+        moved = " ".join(words_of[size // 2 :] + words_of[: size // 2])
+        assert fingerprints.likeness(fingerprints.fingerprint(text), fingerprints.fingerprint(moved)) > 0.75
+    long = fingerprints.fingerprint("ab cd " * 200_000)
+    assert len(long) < 20 * 4 * fingerprints.BLOCKS + 1000
