@@ -5,9 +5,10 @@ Texts are put in lower case, everything but letters becomes a space, and n-grams
 n-grams and a text of any length is read in parts. Document frequencies count every training document in Spark.
 
 The weights are learned with follow-the-regularised-leader (proximal, per coordinate) under an elastic net: the L1 part
-sets rare features to zero. They are fitted on a sample of about `SAMPLE_ROWS` labelled rows, dealt evenly over the
-languages by a hash of the row: this bound is a parameter of `train`. A fifth of the sample is held back to calibrate the
-temperature by which logits are divided.
+sets rare features to zero. They are fitted on a sample of `SAMPLE_ROWS` different labelled texts at most, dealt evenly over the
+languages: those of the smallest hashes, copies counting once. This bound is a parameter of `train`; only `LEAST_ROWS` texts of
+each language, if it has them, go before it. A fifth of the sample is held back to calibrate the temperature by which
+logits are divided; copies of a text are never on both sides.
 
 Defined results: `und` with score 0 for a null text or one without a letter, and for every text if no labelled row was given;
 with one language its score is 1; a row without an id is held out; rows that share an id, or repeat, are judged one by one; an
@@ -16,13 +17,14 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -159,34 +161,41 @@ def calibrated(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def train(rows: DataFrame, text: str = "text", label: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model from labelled rows. `sample_rows` bounds the rows the weights are fitted on, shared out over the languages."""
+    """A model from labelled rows. `sample_rows` bounds the different texts the weights are fitted on, shared out over the languages."""
     ship_package(rows.sparkSession)
     known = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("label"))
-    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(sizes)
+    languages = sorted(r["label"] for r in known.select("label").distinct().collect())
     if not languages:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0), 1.0)
     documents, total = _document_frequencies(known)
     idf = np.log((1 + total) / (1 + documents)) + 1
     each = max(LEAST_ROWS, sample_rows // len(languages))
+    # Texts stand for their copies by a hash; 128 bits tell texts apart, and the text itself is not shuffled.
+    keyed = known.withColumn("key", F.xxhash64("text", "label")).withColumn("more", F.xxhash64(F.lit(1), "label", "text"))
+    # A threshold from the counts of different texts leaves about twice the rows wanted, the rank then takes exactly `each`.
+    distinct = {r["label"]: r["n"] for r in keyed.groupBy("label").agg(F.approx_count_distinct("key", 0.02).alias("n")).collect()}
     share = F.lit(0.0)
-    for language, size in sizes.items():
-        share = F.when(F.col("label") == language, F.lit(min(1.0, each / size))).otherwise(share)
-    draw = F.pmod(F.xxhash64("text", "label"), F.lit(1_000_003)) / F.lit(1_000_003)
-    chosen = known.where(draw < share)
+    for language, size in distinct.items():
+        share = F.when(F.col("label") == language, F.lit(1.0 if size <= 4 * each else 2 * each / size)).otherwise(share)
+    draw = F.pmod("key", F.lit(1_000_003)) / F.lit(1_000_003)
+    once = keyed.withColumn("draw", draw).where(F.col("draw") < share).groupBy("label", "key", "more").agg(
+        F.min("draw").alias("draw"), F.first("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("draw", "key", "more"))
+    chosen = once.withColumn("rank", rank).where(F.col("rank") <= each)
 
     def features(rows: Iterator[dict]) -> Iterator[tuple]:
         for row in rows:
             places, counts = _counted(row["text"])
-            yield row["label"], row["draw"], places.astype(np.int32).tobytes(), counts.astype(np.int32).tobytes()
+            yield row["label"], float(row["rank"]), places.astype(np.int32).tobytes(), counts.astype(np.int32).tobytes()
 
     arrow = pa.schema([("label", pa.string()), ("draw", pa.float64()), ("places", pa.binary()), ("counts", pa.binary())])
-    got = map_rows(chosen.withColumn("draw", draw), features, "label string, draw double, places binary, counts binary", arrow).collect()
+    got = map_rows(chosen.select("label", "rank", "text"), features, "label string, draw double, places binary, counts binary", arrow).collect()
+    drawn = Counter(r["label"] for r in got)
     sample = []
     for r in got:
         places, counts = (np.frombuffer(r[k], np.int32).astype(np.int64) for k in ("places", "counts"))
-        sample.append((r["draw"] / min(1.0, each / sizes[r["label"]]), (places, _SCALE * counts / counts.sum() * idf[places], languages.index(r["label"]))))
+        sample.append(((r["draw"] - 0.5) / drawn[r["label"]], (places, _SCALE * counts / counts.sum() * idf[places], languages.index(r["label"]))))
     sample.sort(key=lambda s: (s[0], s[1][2], len(s[1][0])))
     ordered = [s for _, s in sample]
     held, learned = ordered[::5], [s for i, s in enumerate(ordered) if i % 5] or ordered

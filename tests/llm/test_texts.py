@@ -192,3 +192,24 @@ def test_likeness_of_near_copies_with_scattered_edits():
         assert fingerprints.likeness(fingerprints.fingerprint(text), fingerprints.fingerprint(moved)) > 0.75
     long = fingerprints.fingerprint("ab cd " * 200_000)
     assert len(long) < 20 * 4 * fingerprints.BLOCKS + 1000
+
+
+def test_language_sample_counts_copies_once(spark, monkeypatch):
+    r = np.random.default_rng(6)
+
+    def text(letters):
+        return " ".join("".join(r.choice(list(letters), 5)) for _ in range(20))
+
+    rows = [(text("abcdef"), "x") for _ in range(150)] + [(text("abcdef"), "x")] * 3000
+    few = [text("uvwxyz") for _ in range(5)]
+    rows += [(few[k % 5], "y") for k in range(3000)]  # many rows, five texts
+    seen = []
+    fit = langid.follow_the_leader
+    monkeypatch.setattr(langid, "follow_the_leader", lambda given, n: seen.append(given) or fit(given, n))
+    for copies in (rows, rows + rows[-1:] * 2000):
+        model = langid.train(spark.createDataFrame(copies, "text string, lang string"), sample_rows=200)
+        of = Counter(label for _, _, label in seen[-1])
+        assert len(seen[-1]) == 84 and of[1] == 4, of  # four fifths of 100 and of 5
+        different = {(p.tobytes(), v.tobytes()) for p, v, _ in seen[-1]}
+        assert len(different) == len(seen[-1])
+        assert all(model.predict(t)[0] == "y" for t in few) and model.predict(rows[0][0])[0] == "x"
