@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import BLOCK_ROWS
 from ..functions import numbers
 from ..operators import blocks, centroid_models, dbscan, hdbscan
 from ..operators.agglomerative import agglomerative, merge_table
@@ -67,6 +68,99 @@ def hdbscan_leaf(spark, sf):
     return hdbscan.hdbscan(_points(spark, sf), ["all"], "id", "vector", 5, 3, "leaf").drop("all")
 
 
+# Density clusters of each class: the twin closes the minimax distances of a class over its points one by one and reads
+# components, clusters and their stability off them.
+_MIN_SIZE = 4
+
+_MEET = """
+v AS MATERIALIZED (SELECT vec_id AS id, label AS class, CAST(embedding AS DOUBLE[]) AS x, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k FROM embeddings),
+d AS MATERIALIZED (SELECT a.class, a.k AS p, b.k AS q, list_distance(a.x, b.x) AS d FROM v a JOIN v b ON a.class = b.class),
+core AS MATERIALIZED (SELECT class, p, max(d) AS core FROM (SELECT *, row_number() OVER (PARTITION BY class, p ORDER BY p = q DESC, d) AS r FROM d) WHERE r <= 4 GROUP BY class, p),
+reach AS MATERIALIZED (SELECT d.class, d.p, d.q, CASE WHEN d.p = d.q THEN a.core ELSE greatest(d.d, a.core, b.core) END AS w
+  FROM d JOIN core a ON a.class = d.class AND a.p = d.p JOIN core b ON b.class = d.class AND b.p = d.q),
+steps AS (SELECT 0 AS k, class, p, q, w FROM reach
+  UNION ALL
+  SELECT s.k + 1, s.class, s.p, s.q, CASE WHEN s.p = s.q THEN s.w ELSE least(s.w, greatest(a.w, b.w)) END
+  FROM steps s JOIN steps a ON a.class = s.class AND a.p = s.p AND a.q = s.k + 1 JOIN steps b ON b.class = s.class AND b.p = s.k + 1 AND b.q = s.q),
+meet AS MATERIALIZED (SELECT class, p, q, round(w, 12) AS w FROM steps s WHERE k = (SELECT max(k) FROM v WHERE v.class = s.class))"""
+
+_TREE = _MEET + f""",
+enter AS MATERIALIZED (SELECT class, p, min(w) FILTER (r >= {_MIN_SIZE}) AS w FROM (SELECT class, p, w, row_number() OVER (PARTITION BY class, p ORDER BY w) AS r FROM meet) GROUP BY class, p),
+level AS (SELECT DISTINCT class, w FROM enter WHERE w IS NOT NULL UNION SELECT DISTINCT class, w FROM meet WHERE p <> q),
+comp AS MATERIALIZED (SELECT l.class, l.w, m.p, min(m.q) AS root FROM level l JOIN meet m ON m.class = l.class AND m.w <= l.w GROUP BY l.class, l.w, m.p HAVING count(*) >= {_MIN_SIZE}),
+part AS (SELECT c.class, c.w, c.root, c.p, (SELECT min(m.q) FROM meet m WHERE m.class = c.class AND m.p = c.p AND m.w < c.w) AS before,
+  (SELECT count(*) FROM meet m WHERE m.class = c.class AND m.p = c.p AND m.w < c.w) >= {_MIN_SIZE} AS large FROM comp c),
+opened AS MATERIALIZED (SELECT class, w, root, count(DISTINCT before) FILTER (large) = 0 AS leaf FROM part GROUP BY class, w, root HAVING count(DISTINCT before) FILTER (large) <> 1),
+node AS MATERIALIZED (SELECT o.*, (SELECT min(n.w) FROM opened n JOIN meet m ON m.class = n.class AND m.p = n.root AND m.q = o.root AND m.w <= n.w WHERE n.class = o.class AND n.w > o.w) AS next_w,
+  row_number() OVER (PARTITION BY class ORDER BY w, root) AS n FROM opened o),
+inside AS MATERIALIZED (SELECT n.class, n.n, m.q AS p FROM node n JOIN meet m ON m.class = n.class AND m.p = n.root AND m.w < coalesce(n.next_w, 'inf')),
+own AS (SELECT n.class, n.n, any_value(n.leaf) AS leaf, any_value(n.w) AS w, any_value(n.next_w) AS next_w,
+  sum(1 / greatest(e.w, n.w)) - count(*) * coalesce(1 / any_value(n.next_w), 0) AS own
+  FROM node n JOIN inside i ON i.class = n.class AND i.n = n.n JOIN enter e ON e.class = n.class AND e.p = i.p GROUP BY n.class, n.n),
+parent AS (SELECT o.*, (SELECT min(u.n) FROM node u JOIN inside i ON i.class = u.class AND i.n = u.n JOIN node c ON c.class = o.class AND c.n = o.n
+  WHERE u.class = o.class AND u.w = o.next_w AND i.p = c.root) AS up FROM own o),
+listed AS (SELECT class, list({{'own': own, 'leaf': leaf, 'up': coalesce(up, 0)}} ORDER BY n) AS nodes FROM parent GROUP BY class),
+fold AS (SELECT class, 0 AS n, nodes, list_transform(nodes, lambda x: 0.0::DOUBLE) AS below, []::BOOLEAN[] AS wins FROM listed
+  UNION ALL
+  SELECT class, n + 1, nodes,
+    list_transform(below, lambda b, i: CASE WHEN i = nodes[n + 1].up THEN b + CASE WHEN nodes[n + 1].leaf OR nodes[n + 1].own >= below[n + 1] - 1e-12 THEN nodes[n + 1].own ELSE below[n + 1] END ELSE b END),
+    list_append(wins, nodes[n + 1].up > 0 AND (nodes[n + 1].leaf OR nodes[n + 1].own >= below[n + 1] - 1e-12)) FROM fold WHERE n < len(nodes)),
+best AS (SELECT class, unnest(wins) AS wins, generate_subscripts(wins, 1) AS n FROM fold WHERE n = len(nodes)),
+"""
+
+
+def _density_sql(chosen: str) -> str:
+    return "WITH RECURSIVE " + _TREE + f"""won AS (SELECT i.class, i.p, n.n, n.w FROM inside i JOIN node n ON n.class = i.class AND n.n = i.n JOIN best b ON b.class = i.class AND b.n = i.n WHERE {chosen}),
+mine AS (SELECT class, p, arg_max(n, w) AS n, max(w) AS w FROM won GROUP BY class, p),
+first AS (SELECT class, n, min(p) AS p FROM mine GROUP BY class, n),
+number AS (SELECT class, n, row_number() OVER (PARTITION BY class ORDER BY p) - 1 AS cluster FROM first)
+SELECT v.class, v.id, coalesce(c.cluster, -1)::INTEGER AS cluster, round(coalesce(least(1 / e.w, 1 / m.w) * m.w, 0) + 1e-9, 6) AS probability
+FROM v LEFT JOIN mine m ON m.class = v.class AND m.p = v.k LEFT JOIN number c ON c.class = m.class AND c.n = m.n LEFT JOIN enter e ON e.class = v.class AND e.p = v.k"""
+
+
+@query("j3_spanning_tree_weight", "WITH RECURSIVE " + _MEET + """
+SELECT class, count(*) AS edges, round(sum(w) + 1e-9, 6) AS weight
+FROM (SELECT class, p, min(w) AS w FROM meet WHERE q < p GROUP BY class, p) GROUP BY class""")
+def spanning_tree_weight(spark, sf):
+    """Edges and weight of the spanning tree of each class under mutual reachability."""
+    return _tree_weights(spark, sf, BLOCK_ROWS)
+
+
+@query("j3_spanning_tree_weight_many_blocks", sql_of("j3_spanning_tree_weight"))
+def spanning_tree_weight_many_blocks(spark, sf):
+    return _tree_weights(spark, sf, 16)
+
+
+def _classes(spark, sf):
+    return _points(spark, sf).withColumnRenamed("cluster", "class")
+
+
+def _tree_weights(spark, sf, block_rows):
+    graph = hdbscan.density_graph(_classes(spark, sf), ["class"], "id", "vector", 3, block_rows=block_rows)
+    return graph.forest.groupBy("class").agg(F.count("*").alias("edges"), numbers.rounded(F.sum("weight"), 6).alias("weight"))
+
+
+def _density(spark, sf, selection, block_rows=BLOCK_ROWS):
+    found = hdbscan.hdbscan(_classes(spark, sf), ["class"], "id", "vector", _MIN_SIZE, 3, selection, block_rows=block_rows)
+    return found.select("class", "id", "cluster", numbers.rounded(F.col("probability"), 6).alias("probability"))
+
+
+@query("j3_hdbscan_per_class", _density_sql("b.wins"))
+def hdbscan_per_class(spark, sf):
+    """Clusters of each class by excess of mass."""
+    return _density(spark, sf, "eom")
+
+
+@query("j3_hdbscan_per_class_many_blocks", sql_of("j3_hdbscan_per_class"))
+def hdbscan_per_class_many_blocks(spark, sf):
+    return _density(spark, sf, "eom", 16)
+
+
+@query("j3_hdbscan_leaves_per_class", _density_sql("n.leaf AND n.next_w IS NOT NULL"))
+def hdbscan_leaves_per_class(spark, sf):
+    return _density(spark, sf, "leaf")
+
+
 @query("j4_kmeans")
 def kmeans(spark, sf):
     labels, inertia = centroid_models.kmeans(_points(spark, sf), "id", "vector", 6)

@@ -1,16 +1,17 @@
 """Work on pairs of vectors without making rows of pairs.
 
-Vectors are split into blocks of bounded size, and a task gets one pair of blocks: it computes
-their distances as one matrix product and gives back a summary per vector (nearest neighbours, a
-count, a spanning tree), never the pairs themselves. With a radius, pairs of blocks that cannot hold a pair
-of vectors within that radius are left out by the triangle inequality.
+Vectors are split into blocks of bounded size around pivots, and a task compares two sets of bounded size: two
+blocks (`run_on_pairs`), or vectors that visit a block (`visit`). It computes their distances as one matrix product and gives back a
+summary per vector (nearest neighbours, a count, a lightest edge), never the pairs themselves. What cannot
+hold a pair of interest is left out by the triangle inequality (`lower_bounds`). A slice of one block takes the same way as
+one of many: it has no other block to meet.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -21,9 +22,11 @@ from pyspark.sql import types as T
 from ..config import BLOCK_ROWS
 from ..functions import vectors
 from ..session import cut
+from .ranking import top_rows
 
-# At most this many reference vectors are held by the driver and sent to every task.
-MAX_PIVOTS = 1_024
+# Rows of a slice that one task compares with the pivots, and visitors that a block gets at once.
+CHUNK_ROWS = 20_000
+VISITORS = 8_192
 _SUB_BITS = 1 << 32
 
 # kernel(left, right, key): `right` is None when a block meets itself; both are sorted by id.
@@ -83,148 +86,181 @@ def largest_slice(points: DataFrame, keys: Sequence[str]) -> int:
 
 @dataclass(frozen=True)
 class Blocked:
-    """Points with their block, and the pivots that stand for the cells of large slices."""
+    """Points with their block, and what is known of each block."""
 
-    points: DataFrame  # keys, id, vector, ..., cell, radius, block
+    points: DataFrame  # keys, id, vector, ..., chunk, cell, away (from the pivot of the cell), block
+    blocks: DataFrame  # keys, block, cell, pivot, pivot_id, radius (largest `away`), rows, chunks (of the slice)
     keys: tuple[str, ...]
-    pivots: dict[tuple, np.ndarray]
-    one_block: bool
+    most: int  # blocks of the largest slice
+
+    def with_columns_of(self, other: DataFrame) -> "Blocked":
+        """The same blocks, the points with the columns of a table (keys, id, ...)."""
+        return replace(self, points=self.points.join(other, [*self.keys, "id"]))
+
+    def key_ddl(self) -> str:
+        return "".join(f"`{k}` {self.points.schema[k].dataType.simpleString()}, " for k in self.keys)
+
+    def id_type(self) -> str:
+        return self.points.schema["id"].dataType.simpleString()
+
+
+def _with_keys(keys: Sequence[str], values: tuple, out: pd.DataFrame) -> pd.DataFrame:
+    for i, k in enumerate(keys):
+        out.insert(i, k, pd.Series([values[i]] * len(out), index=out.index, dtype=object))  # also right without rows
+    return out
 
 
 def split_into_blocks(points: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS) -> Blocked:
-    """Give every point the cell of its nearest pivot and a block of about `block_rows` points inside it."""
+    """Give every point the cell of its nearest pivot and a block of about `block_rows` points inside it.
+
+    A slice of n points has min(n / block_rows, sqrt(n)) pivots, points of its own picked by hash, so comparing all points with them costs
+    n ** 1.5 at most. Pivots are rows beside chunks of the slice; nothing is collected.
+    """
     keys = tuple(keys)
-    sizes = points.groupBy(*keys).agg(F.count("*").alias("_n"))
-    totals = sizes.agg(F.max("_n"), F.sum(F.when(F.col("_n") > block_rows, F.col("_n")))).first()
-    if (totals[0] or 0) <= block_rows:
-        whole = points.withColumns({"cell": F.lit(0), "radius": F.lit(0.0), "block": F.lit(0).cast("bigint")})
-        return Blocked(whole, keys, {}, True)
-
-    # Pivots: vectors in hash order, as many as a slice has blocks and as its share of the limit allows.
-    share = F.floor(F.col("_n") * F.lit(MAX_PIVOTS) / F.lit(totals[1]))
-    wanted = sizes.where(F.col("_n") > block_rows).withColumn(
-        "_m", F.greatest(F.lit(1), F.least(share, F.ceil(F.col("_n") / block_rows)))
-    )
-    every = F.greatest(F.lit(1), F.floor(F.col("_n") / F.col("_m")))
-    picked = points.join(wanted, list(keys)).where(F.pmod(F.xxhash64("id"), every) == 0)
-    pivots: dict[tuple, list] = {}
-    for row in picked.select(*keys, "vector").limit(4 * MAX_PIVOTS).collect():
-        pivots.setdefault(tuple(row[k] for k in keys), []).append(row["vector"])
-    arrays = {k: np.array(v[:MAX_PIVOTS], dtype=np.float64) for k, v in pivots.items()}
-    shared = points.sparkSession.sparkContext.broadcast(arrays)
-
-    def nearest(batches):
-        for pdf in batches:
-            pdf["cell"], pdf["radius"] = 0, np.inf
-            groups = pdf.groupby(list(keys), sort=False).indices if keys else {(): np.arange(len(pdf))}
-            cells, radii = pdf["cell"].to_numpy().copy(), pdf["radius"].to_numpy().copy()
-            for key, at in groups.items():
-                pivot = shared.value.get(key if isinstance(key, tuple) else (key,))
-                if pivot is None:
-                    continue
-                d = distances(np.stack(pdf["vector"].to_numpy()[at]).astype(np.float64), pivot, "euclidean")
-                cells[at], radii[at] = d.argmin(1), d.min(1)
-            yield pdf.assign(cell=cells.astype("int32"), radius=radii)
-
-    schema = T.StructType([*points.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType())])
-    celled = cut(points.mapInPandas(nearest, schema))
-    cells = celled.groupBy(*keys, "cell").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("_parts"))
+    draw = F.shiftrightunsigned(F.xxhash64("id", F.lit(3)), 11) / float(2**53)
+    drawn = points.withColumn("_draw", draw)
+    wanted = F.ceil(F.least(F.col("_n") / block_rows, F.sqrt("_n"))).cast("int")
+    sizes = drawn.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_draw").alias("_low")).select(
+        *keys, "_n", "_low", wanted.alias("_wanted"), F.ceil(F.col("_n") / CHUNK_ROWS).cast("int").alias("chunks"))
+    # A threshold passes a few more points than wanted, and the first one always; only these are numbered.
+    limit = F.when(F.col("_wanted") > 1, (F.col("_wanted") + 6 * F.sqrt("_wanted") + 10) / F.col("_n")).otherwise(F.col("_low"))
+    passed = drawn.join(sizes, list(keys)).where(F.col("_draw") <= F.greatest(limit, F.col("_low")))
+    ranked = top_rows(passed, keys, [F.asc("_draw"), F.asc("id")], 1 << 30, "_at").where(F.col("_at") <= F.col("_wanted"))
+    pivots = cut(ranked.select(*keys, (F.col("_at") - 1).alias("cell"), F.col("vector").alias("pivot"), F.col("id").alias("pivot_id"), "chunks"))
+
+    def nearest(key, rows, cells):
+        cells = cells.sort_values("cell", ignore_index=True)
+        centre = np.stack(cells["pivot"].to_numpy())
+        cell, away = np.empty(len(rows), np.int64), np.empty(len(rows))
+        for at in _batches(len(rows), len(cells)):
+            d = distances(matrix(rows.iloc[at]), centre, "euclidean")
+            cell[at], away[at] = d.argmin(1), d.min(1)
+        rows = rows.assign(cell=cells["cell"].to_numpy()[cell], away=away)
+        return rows[[f.name for f in schema.fields]]
+
+    chunked = points.join(sizes.select(*keys, "chunks"), list(keys)).withColumn(
+        "chunk", F.pmod(F.xxhash64("id", F.lit(5)), F.col("chunks")).cast("int")).drop("chunks")
+    schema = T.StructType([*chunked.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("away", T.DoubleType())])
+    beside = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    group = [*keys, "chunk"]
+    celled = cut(chunked.groupBy(*group).cogroup(beside.groupBy(*group)).applyInPandas(nearest, schema))
+    parts = celled.groupBy(*keys, "cell").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("_parts"))
     part = F.pmod(F.xxhash64("id", F.lit(7)), F.col("_parts"))
-    blocked = celled.join(cells, [*keys, "cell"]).withColumn("block", F.col("cell") * F.lit(_SUB_BITS) + part).drop("_parts")
-    return Blocked(blocked, keys, arrays, False)
-
-
-def _cell_pairs(blocked: Blocked, reach: DataFrame | float) -> DataFrame:
-    """Pairs of cells that may hold two points within reach: keys, cell, other_cell. `reach` is one radius, or
-    a radius per cell (keys, cell, reach). A slice without a pivot is one cell; large slices have at most
-    `MAX_PIVOTS` cells together."""
-    spread = blocked.points.groupBy(*blocked.keys, "cell").agg(F.max("radius").alias("radius"))
-    if isinstance(reach, DataFrame):
-        spread = spread.join(reach, [*blocked.keys, "cell"], "left")
-    else:
-        spread = spread.withColumn("reach", F.lit(float(reach)))
-    by_key: dict[tuple, list] = {}
-    for r in spread.collect():
-        by_key.setdefault(tuple(r[k] for k in blocked.keys), []).append((r["cell"], r["radius"], r["reach"]))
-    rows = []
-    for key, cells in by_key.items():
-        cells.sort()
-        ids = np.array([c[0] for c in cells])
-        radius = np.array([c[1] for c in cells])
-        limit = np.array([np.inf if c[2] is None else c[2] for c in cells])
-        pivot = blocked.pivots.get(key)
-        if pivot is None:
-            gap = np.zeros((len(ids), len(ids)))
-        else:
-            gap = distances(pivot[ids], pivot[ids], "euclidean") - radius[:, None] - radius[None, :]
+    blocked = cut(celled.join(parts, [*keys, "cell"]).withColumn("block", F.col("cell") * F.lit(_SUB_BITS) + part).drop("_parts"))
+    known = cut(blocked.groupBy(*keys, "cell", "block").agg(F.max("away").alias("radius"), F.count("*").alias("rows")).join(
+        pivots, [*keys, "cell"]))
+    return Blocked(blocked, known, keys, largest_slice(known, keys))
+
+
+def _batches(rows: int, columns: int) -> list[slice]:
+    """Slices of rows whose matrices have a few million cells."""
+    step = max(1, 4_000_000 // max(columns, 1))
+    return [slice(at, at + step) for at in range(0, rows, step)]
+
+
+def lower_bounds(rows: pd.DataFrame, blocks: pd.DataFrame) -> np.ndarray:
+    """Euclidean distance that each row has at least to any point of each block.
+
+    A point q of the block is within its radius of the pivot, and no nearer to the pivot of the row than to its own.
+    """
+    cell, at = np.unique(blocks["cell"].to_numpy(), return_index=True)
+    to_pivot = distances(matrix(rows), np.stack(blocks["pivot"].to_numpy()[at]), "euclidean")
+    d = to_pivot[:, np.searchsorted(cell, blocks["cell"].to_numpy())]
+    return np.maximum(np.maximum(d - blocks["radius"].to_numpy(), (d - rows["away"].to_numpy()[:, None]) / 2), 0.0)
+
+
+def beside_blocks(blocked: Blocked, points: DataFrame, blocks: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """Give `work` chunks of the points of a slice with all rows of `blocks` of the slice, in batches of rows."""
+    keys = list(blocked.keys)
+
+    def run(key, rows, known):
+        known = known.sort_values("block", ignore_index=True)
+        parts = [work(rows.iloc[at], known) for at in _batches(len(rows), len(known))] if len(known) else []
+        out = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=_names(schema))
+        return _with_keys(keys, key, out)
+
+    group = [*keys, "chunk"]
+    beside = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return points.groupBy(*group).cogroup(beside.groupBy(*group)).applyInPandas(run, blocked.key_ddl() + schema)
+
+
+def visit(blocked: Blocked, visits: DataFrame, visitors: DataFrame, kernel: Callable, schema: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Run the kernel (visitors, points of the block) for all `visits` (keys, id, block, ...; a written table).
+
+    `visitors` has the vectors and further columns of the visiting points. A block with many visitors gets them in
+    several groups of about `VISITORS`.
+    """
+    keys = list(blocked.keys)
+    groups = visits.groupBy(*keys, "block").agg(F.ceil(F.count("*") / F.lit(VISITORS)).cast("int").alias("_groups"))
+    dealt = visits.join(groups, [*keys, "block"]).withColumn("_group", F.pmod(F.xxhash64("id", F.lit(11)), F.col("_groups")).cast("int"))
+    coming = dealt.drop("_groups").join(visitors, [*keys, "id"])
+    hosts = blocked.points.select(*keys, "block", "id", "vector", *carry).join(groups, [*keys, "block"]).withColumn(
+        "_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
+    hosts = hosts.toDF(*hosts.columns)  # both sides come from one table: new names for the columns of this one
+    group = [*keys, "block", "_group"]
+
+    def run(key, left, right):
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=_names(blocked_ddl + schema))
+        rows = kernel(left.sort_values("id", ignore_index=True), right.sort_values("id", ignore_index=True))
+        return _with_keys(keys, key, rows)
+
+    blocked_ddl = blocked.key_ddl()
+    return coming.groupBy(*group).cogroup(hosts.groupBy(*group)).applyInPandas(run, blocked_ddl + schema)
+
+
+def on_own_blocks(blocked: Blocked, kernel: Kernel, schema: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Run the kernel on every block by itself."""
+    keys = list(blocked.keys)
+
+    def single(key, rows):
+        return _with_keys(keys, key, kernel(rows.sort_values("id", ignore_index=True), None, key[: len(keys)]))
+
+    points = blocked.points.select(*keys, "id", "vector", *carry, "block")
+    return points.groupBy(*keys, "block").applyInPandas(single, blocked.key_ddl() + schema)
+
+
+def block_pairs(blocked: Blocked, reach: float) -> DataFrame:
+    """Pairs of different blocks of a slice that may hold two points within reach: keys, left, right."""
+    keys = list(blocked.keys)
+    few = blocked.blocks.withColumn("chunk", F.pmod(F.xxhash64("block"), F.col("chunks")).cast("int"))
+
+    def near(rows, known):
+        a, b = np.stack(rows["pivot"].to_numpy()), np.stack(known["pivot"].to_numpy())
+        gap = distances(a, b, "euclidean") - rows["radius"].to_numpy()[:, None] - known["radius"].to_numpy()[None, :]
+        left, right = rows["block"].to_numpy(), known["block"].to_numpy()
         # A tolerance keeps pairs that only rounding puts out of reach.
-        near = gap <= np.maximum(limit[:, None], limit[None, :]) + 1e-6
-        for i, j in np.argwhere(near):
-            if i <= j:
-                rows.append((*key, int(ids[i]), int(ids[j])))
-    fields = [blocked.points.schema[k] for k in blocked.keys]
-    schema = T.StructType([*fields, T.StructField("cell", T.IntegerType()), T.StructField("other_cell", T.IntegerType())])
-    return blocked.points.sparkSession.createDataFrame(rows, schema)
+        i, j = np.nonzero((gap <= reach + 1e-6) & (left[:, None] < right[None, :]))
+        return pd.DataFrame({"left": left[i], "right": right[j]})
+
+    return beside_blocks(blocked, few.select(*keys, "chunk", "block", "pivot", "radius"), blocked.blocks, near, "left bigint, right bigint")
 
 
 def run_on_pairs(
-    blocked: Blocked,
-    kernel: Kernel,
-    schema: str,
-    reach: DataFrame | float = math.inf,
-    own_blocks_only: bool = False,
-    carry: Sequence[str] = (),
+    blocked: Blocked, kernel: Kernel, schema: str, reach: float = math.inf, carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Run the kernel on every pair of blocks of a slice that may hold points within reach.
+    """Run the kernel on every block and on every pair of blocks of a slice that may hold points within reach.
 
     Returns keys plus the columns of `schema`. `carry` names further columns that the kernel reads.
     """
     keys = list(blocked.keys)
-    key_ddl = "".join(f"`{k}` {blocked.points.schema[k].dataType.simpleString()}, " for k in keys)
-    points = blocked.points.select(*keys, "id", "vector", *carry, "block", "cell")
-    n_keys = len(keys)
-
-    def finish(key: tuple, out: pd.DataFrame) -> pd.DataFrame:
-        for i, k in enumerate(keys):
-            out.insert(i, k, pd.Series([key[i]] * len(out), index=out.index, dtype=object))  # also right without rows
-        return out
-
-    def single(key, pdf):
-        rows = pdf.sort_values("id", ignore_index=True)
-        return finish(key[:n_keys], kernel(rows, None, key[:n_keys]))
-
-    if blocked.one_block or own_blocks_only:
-        return points.groupBy(*keys, "block").applyInPandas(single, key_ddl + schema)
-
-    def pair(key, pdf):
-        left = pdf[pdf["_side"] == 0].sort_values("id", ignore_index=True)
-        right = pdf[pdf["_side"] == 1].sort_values("id", ignore_index=True)
-        same = key[n_keys] == key[n_keys + 1]
-        if not len(left) or not (same or len(right)):
-            return finish((), pd.DataFrame(columns=_names(key_ddl + schema)))
-        return finish(key[:n_keys], kernel(left, None if same else right, key[:n_keys]))
-
-    sized = blocked.points.select(*keys, "cell", "block").distinct()
-    left_side = sized.withColumnRenamed("block", "_left")
-    right_side = sized.select(*keys, F.col("cell").alias("other_cell"), F.col("block").alias("_right"))
-    cell_pairs = _cell_pairs(blocked, reach)
-    pairs = left_side.join(cell_pairs, [*keys, "cell"]).join(right_side, [*keys, "other_cell"])
-    pairs = pairs.where((F.col("cell") != F.col("other_cell")) | (F.col("_left") <= F.col("_right")))
-    pairs = pairs.select(*keys, "_left", "_right")
-    lefts = points.drop("cell").join(pairs, (points["block"] == pairs["_left"]) & _same(points, pairs, keys))
-    rights = points.drop("cell").join(
-        pairs.where("_left <> _right"), (points["block"] == pairs["_right"]) & _same(points, pairs, keys)
-    )
-    columns = [*[points[k] for k in keys], "id", "vector", *carry, "_left", "_right"]
-    both = lefts.select(*columns, F.lit(0).alias("_side")).unionByName(rights.select(*columns, F.lit(1).alias("_side")))
-    return both.groupBy(*keys, "_left", "_right").applyInPandas(pair, key_ddl + schema)
-
-
-def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]):
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & (a[k] == b[k])
-    return condition
+    own = on_own_blocks(blocked, kernel, schema, carry)
+    if blocked.most < 2:
+        return own
+    ddl = blocked.key_ddl()
+
+    def pair(key, left, right):
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=_names(ddl + schema))
+        return _with_keys(keys, key, kernel(left.sort_values("id", ignore_index=True), right.sort_values("id", ignore_index=True), key[: len(keys)]))
+
+    pairs = cut(block_pairs(blocked, reach))
+    points = blocked.points.select(*keys, "block", "id", "vector", *carry)
+    lefts = points.withColumnRenamed("block", "left").join(pairs, [*keys, "left"])
+    rights = points.withColumnRenamed("block", "right").join(pairs, [*keys, "right"])
+    rights = rights.toDF(*rights.columns)
+    group = [*keys, "left", "right"]
+    return own.unionByName(lefts.groupBy(*group).cogroup(rights.groupBy(*group)).applyInPandas(pair, ddl + schema))
 
 
 def _names(ddl: str) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BLOCK_ROWS
+from ..session import cut
 from . import blocks
 from .components import connected_components
 from .ranking import value_positions
@@ -66,12 +67,12 @@ def _link_kernel(eps: float, metric: str) -> blocks.Kernel:
             hit = blocks.distances(inner, inner, metric) <= eps
             np.fill_diagonal(hit, True)
             root = _local_roots(hit)
-            out.append(pd.DataFrame({"u": core_ids, "v": core_ids[root], "core": True}))
+            out.append(pd.DataFrame({"u": core_ids, "v": core_ids[root], "core": True, "own": right is None}))
             if len(outer):
                 near = blocks.distances(outer, inner, metric) <= eps
                 has = near.any(1)
-                out.append(pd.DataFrame({"u": border_ids[has], "v": core_ids[near[has].argmax(1)], "core": False}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"u": ids[:0], "v": ids[:0], "core": core[:0]})
+                out.append(pd.DataFrame({"u": border_ids[has], "v": core_ids[near[has].argmax(1)], "core": False, "own": right is None}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"u": ids[:0], "v": ids[:0], "core": core[:0], "own": core[:0]})
 
     return kernel
 
@@ -119,18 +120,17 @@ def dbscan(
     reach = blocks.euclidean_radius(eps, metric)
 
     core = _near_counts(blocked, eps, metric).select(*keys, "id", (F.col("near") >= min_points).alias("core"))
-    marked = blocks.Blocked(blocked.points.join(core, [*keys, "id"]), blocked.keys, blocked.pivots, blocked.one_block)
-    links = blocks.cut(
-        blocks.run_on_pairs(marked, _link_kernel(eps, metric), f"u {kind}, v {kind}, core boolean", reach, carry=["core"])
-    )
-
-    core_links = links.where("core").select(*keys, "u", "v")
-    if blocked.one_block:
-        roots = core_links.select(*keys, F.col("u").alias("id"), F.col("v").alias("component"))
-    else:
-        found = connected_components(core_links, keys)
-        alone = core_links.select(*keys, F.col("u").alias("id")).distinct()
-        roots = alone.join(found, [*keys, "id"], "left").withColumn("component", F.coalesce("component", "id"))
+    marked = blocked.with_columns_of(cut(core))
+    schema = f"u {kind}, v {kind}, core boolean, own boolean"
+    links = cut(blocks.run_on_pairs(marked, _link_kernel(eps, metric), schema, reach, carry=["core"]))
+
+    # Inside a block every core point has its root; between blocks only the roots are joined.
+    inside = links.where("core AND own").select(*keys, F.col("u").alias("id"), F.col("v").alias("root"))
+    between = links.where("core AND NOT own AND u <> v").select(*keys, "u", "v")
+    for end in ("u", "v"):
+        between = between.join(inside.select(*keys, F.col("id").alias(end), "root"), [*keys, end]).withColumn(end, F.col("root")).drop("root")
+    found = connected_components(between.distinct(), keys).withColumnRenamed("id", "root")
+    roots = inside.join(found, [*keys, "root"], "left").select(*keys, "id", F.coalesce("component", "root").alias("component"))
     border = links.where(~F.col("core")).groupBy(*keys, "u").agg(F.min("v").alias("v"))
     border = border.join(roots.withColumnRenamed("id", "v"), [*keys, "v"]).select(*keys, F.col("u").alias("id"), "component")
     labelled = roots.withColumn("is_core", F.lit(True)).unionByName(border.withColumn("is_core", F.lit(False)))
