@@ -141,9 +141,14 @@ def dominant_niche(spark, sf):
     return agg.dominant(fx.noisy_posts(spark, sf).where("cluster <> -1"), ["cluster"], "niche", "dominant_topic")
 
 
-@query("e14_cross_tab", S.with_(S.NOISY) + "SELECT * FROM (PIVOT noisy ON niche USING count(*) GROUP BY cluster)")
+@query("e14_cross_tab", S.with_(S.NOISY) + """
+SELECT c.cluster, n.niche, count(p.niche) AS posts FROM (SELECT DISTINCT cluster FROM noisy) c
+CROSS JOIN (SELECT DISTINCT niche FROM noisy WHERE niche IS NOT NULL) n
+LEFT JOIN noisy p ON p.cluster IS NOT DISTINCT FROM c.cluster AND p.niche = n.niche GROUP BY c.cluster, n.niche""")
 def cross_tab(spark, sf):
-    return agg.cross_tab(fx.noisy_posts(spark, sf))
+    """The table with a column for each niche, turned to long form to be compared: every cluster with every niche."""
+    wide = agg.cross_tab(fx.noisy_posts(spark, sf))
+    return wide.unpivot("cluster", [c for c in wide.columns if c != "cluster"], "niche", "posts")
 
 
 @query("e15_niche_shares", S.with_(S.NOISY) + """

@@ -75,6 +75,14 @@ def cosine_silhouette(spark, sf):
     return value.select(numbers.rounded(F.col("silhouette"), 6).alias("silhouette"))
 
 
+@query("j10_cosine_silhouette_samples", S.with_(_UNIT, _SILHOUETTE.replace(
+    "list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))", "CASE WHEN a.vec_id = b.vec_id THEN 0 ELSE greatest(1 - list_dot_product(a.v, b.v), 0) END"
+).replace("FROM embeddings a, embeddings b", "FROM unit a, unit b")) + "SELECT vec_id AS id, label AS cluster, round(s + 1e-9, 6) AS silhouette FROM sil")
+def cosine_silhouette_samples(spark, sf):
+    samples = metrics.silhouette_samples(_points(spark, sf), [], "id", "vector", metric="cosine")
+    return samples.withColumn("silhouette", numbers.rounded(F.col("silhouette"), 6))
+
+
 _DRAWN = """drawn AS (
   SELECT vec_id, label, embedding FROM (SELECT *, row_number() OVER (ORDER BY md5(vec_id || ':42'), vec_id) AS r FROM embeddings) WHERE r <= 300)"""
 

@@ -82,7 +82,5 @@ class Settings:
     top_entities: int = 8
 
 
-# A group with more rows than this is never handed to one task as a whole.
-GROUP_ROWS = 200_000
 # Rows of one vector block; a task holds two blocks and their distance matrix.
 BLOCK_ROWS = 2_048

@@ -184,6 +184,23 @@ def beside_blocks(blocked: Blocked, points: DataFrame, blocks: DataFrame, work:
     return points.groupBy(*group).cogroup(beside.groupBy(*group)).applyInPandas(run, blocked.key_ddl() + schema)
 
 
+def beside_table(points: DataFrame, table: DataFrame, keys: Sequence[str], work: Callable, schema: str) -> DataFrame:
+    """Give `work` chunks of the points of a slice with all rows that a (much smaller) table has for the slice."""
+    keys = list(keys)
+    sizes = points.groupBy(*keys).agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("_chunks"))
+    chunked = points.join(sizes, keys).withColumn("_chunk", F.pmod(F.xxhash64("id", F.lit(13)), F.col("_chunks")).cast("int")).drop("_chunks")
+    copied = table.join(sizes, keys).withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks")
+    copied = copied.toDF(*copied.columns)
+    group = [*keys, "_chunk"]
+    key_ddl = "".join(f"`{k}` {points.schema[k].dataType.simpleString()}, " for k in keys)
+
+    def run(key, rows, known):
+        parts = [work(rows.iloc[at], known) for at in _batches(len(rows), len(known))] if len(known) else []
+        return _with_keys(keys, key, pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=_names(schema)))
+
+    return chunked.groupBy(*group).cogroup(copied.groupBy(*group)).applyInPandas(run, key_ddl + schema)
+
+
 def visit(blocked: Blocked, visits: DataFrame, visitors: DataFrame, kernel: Callable, schema: str, carry: Sequence[str] = ()) -> DataFrame:
     """Run the kernel (visitors, points of the block) for all `visits` (keys, id, block, ...; a written table).
 

@@ -92,13 +92,15 @@ def silhouette_samples(
 ) -> DataFrame:
     """Silhouette of every clustered point: keys, id, cluster, silhouette.
 
-    Mean distances need every pair of points; blocks keep the pairs out of the shuffle. `sample` measures a
-    seeded sample of that many points per key instead, as is usual for large sets.
+    Mean distances need every pair of points; blocks keep the pairs out of the shuffle. Cosine distances need none
+    (`_cosine_samples`). `sample` measures a seeded sample of that many points per key instead, as is usual for large sets.
     """
     given = keys
     points, keys = _keyed(clustered_points(df, keys, id_column, vector_column, metric), keys)
     if sample:
         points = seeded_sample_of_each(points, keys, sample, seed)
+    if metric == "cosine":
+        return _unkeyed(_cosine_samples(points, keys), given)
     blocked = blocks.split_into_blocks(points, keys, block_rows)
     kind = points.schema["id"].dataType.simpleString()
     sums = blocks.run_on_pairs(
@@ -119,6 +121,29 @@ def silhouette_samples(
     return _unkeyed(out, given)
 
 
+def _cosine_samples(points: DataFrame, keys: list[str]) -> DataFrame:
+    """The cosine distances of a unit vector u to the n vectors of a cluster add up to n - u * (their sum): so exact
+    silhouettes need a sum of vectors for each cluster, and a product of each point with each sum."""
+    kind = points.schema["id"].dataType.simpleString()
+    clusters = cut(points.groupBy(*keys, "cluster").agg(F.count("*").alias("n"), vectors.mean_vector("vector").alias("mean")))
+
+    def measure(rows, known):
+        x, n = blocks.matrix(rows), known["n"].to_numpy().astype(float)
+        total = np.maximum(n - (x @ np.stack(known["mean"].to_numpy()).T) * n, 0.0)
+        codes = known["cluster"].to_numpy()
+        own = rows["cluster"].to_numpy()[:, None] == codes[None, :]
+        size = (own * n).sum(1)
+        # A point is no neighbour of itself; a zero vector has distance 1 to all, itself among them.
+        inside = (own * total).sum(1) - np.maximum(1.0 - (x * x).sum(1), 0.0)
+        a = np.maximum(inside, 0.0) / np.maximum(size - 1, 1)
+        b = np.where(own, np.inf, total / n).min(1)
+        top = np.maximum(a, b)
+        value = np.where((size > 1) & np.isfinite(b) & (top > 0), (b - a) / np.where(np.isfinite(top) & (top > 0), top, 1.0), 0.0)
+        return pd.DataFrame({"id": rows["id"].to_numpy(), "cluster": rows["cluster"].to_numpy(), "silhouette": value})
+
+    return blocks.beside_table(points, clusters, keys, measure, f"id {kind}, cluster int, silhouette double")
+
+
 def silhouette(df: DataFrame, keys: Sequence[str], id_column: str, vector_column: str, **options) -> DataFrame:
     samples = silhouette_samples(df, keys, id_column, vector_column, **options)
     return samples.groupBy(*keys).agg(F.avg("silhouette").alias("silhouette"))

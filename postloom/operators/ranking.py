@@ -7,59 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import GROUP_ROWS, W_ENGAGEMENT_RANK, W_PROBABILITY_RANK
+from ..config import W_ENGAGEMENT_RANK, W_PROBABILITY_RANK
 from ..functions import numbers
-from ..session import cut
+from .ranged import Ranged, null_safe_join
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on keys where null equals null; the columns of the left, then those of the right that are no keys."""
-    mine = {k: f"_right_{k}" for k in keys}
-    renamed = right.withColumnsRenamed(mine)
-    on = None
-    for k, other in mine.items():
-        same = F.col(k).eqNullSafe(F.col(other))
-        on = same if on is None else on & same
-    joined = left.join(renamed, on, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*mine.values())
-
-
-def value_positions(df: DataFrame, keys: Sequence[str], value: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+def value_positions(df: DataFrame, keys: Sequence[str], value: str, group_rows: int | None = None) -> DataFrame:
     """Distinct values of each group with the number of rows above them; null is a value below all others.
 
-    Returns keys, `value`, `n_equal`, `n_above`, `n_total`. Equal values are counted before the shuffle.
-    A group is split at some of its own values, about one in `group_rows`, so that no window holds more than about
-    that many rows whatever the size of the group; a smaller group has one slice, mostly. The split values
-    are picked by hash and only steer the split, they do not change the counts. The counts are read several times, so
-    they are made durable once instead of being computed again.
+    Returns keys, `value`, `n_equal`, `n_above`, `n_total`. Equal values are counted before the shuffle; the counts are split by
+    ranges of (group, value) and added up range by range, so no group has to fit a task, and a row carries nothing of its group.
+    There are as many ranges as shuffle partitions, or one for `group_rows` counts, if that is given.
     """
     keys = list(keys)
-    counted = cut(df.groupBy(*keys, value).agg(F.count("*").alias("n_equal")))
-    sizes = counted.groupBy(*keys).agg(
-        F.sum("n_equal").alias("n_total"),
-        F.array_sort(F.collect_list(F.when(
-            F.col(value).isNotNull() & (F.pmod(F.xxhash64(value), F.lit(group_rows)) == 0), F.col(value)
-        ))).alias("_splits"),
-    )
-    below = F.when(F.col(value).isNull(), F.size("_splits")).otherwise(F.size(F.filter("_splits", lambda s: s > F.col(value))))
-    sliced = null_safe_join(counted, sizes, keys).withColumn("_slice", below).drop("_splits")
-    above = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*keys, "_slice").agg(F.sum("n_equal").alias("_n_slice"))
-        .withColumn("_offset", F.coalesce(F.sum("_n_slice").over(above), F.lit(0)))
-        .drop("_n_slice")
-    )
-    inside = Window.partitionBy(*keys, "_slice").orderBy(F.desc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
-    numbered = sliced.withColumn("_before", F.coalesce(F.sum("n_equal").over(inside), F.lit(0)))
-    return null_safe_join(numbered, offsets, [*keys, "_slice"]).select(
-        *keys, value, "n_equal", (F.col("_before") + F.col("_offset")).alias("n_above"), "n_total"
-    )
+    counted = df.groupBy(*keys, value).agg(F.count("*").alias("n_equal"))
+    ranges = max(1, -(-counted.count() // group_rows)) if group_rows else None
+    placed = Ranged(counted, keys, [F.desc_nulls_last(value)], ranges).run(
+        sums={"n_above": F.col("n_equal")}, own_row=False, totals={"n_total": F.col("n_equal")})
+    return placed.table().select(*keys, value, "n_equal", F.col("n_above").cast("long"), "n_total")
 
 
-def add_min_rank(df: DataFrame, keys: Sequence[str], value: str, name: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+def add_min_rank(df: DataFrame, keys: Sequence[str], value: str, name: str, group_rows: int | None = None) -> DataFrame:
     """Descending rank inside a group, equal values share the smallest rank, nulls come last.
 
-    The rank is the number of rows above, counted over slices of the group, so a group of any size is ranked the same way.
+    The rank is the number of rows above, counted over ranges, so a group of any size is ranked the same way.
     """
     keys = list(keys)
     ranks = value_positions(df, keys, value, group_rows).select(*keys, value, (F.col("n_above") + 1).alias(name))
@@ -94,7 +65,7 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return top_rows(df, keys, order, 1, "_first").drop("_first")
 
 
-def combined_rank(posts: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
+def combined_rank(posts: DataFrame, keys: Sequence[str], group_rows: int | None = None) -> DataFrame:
     """Rank by closeness to the cluster and by engagement, and the weighted sum of both ranks."""
     ranked = posts.withColumn(
         "engagement",
@@ -111,7 +82,7 @@ def combined_rank(posts: DataFrame, keys: Sequence[str], group_rows: int = GROUP
 _RANKED_BY = ("post_id", "timestamp_utc", "score", "num_comments", "upvote_ratio", "probability")
 
 
-def representative_posts(posts: DataFrame, keys: Sequence[str], n: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+def representative_posts(posts: DataFrame, keys: Sequence[str], n: int, group_rows: int | None = None) -> DataFrame:
     """The `n` posts of each cluster with the smallest combined rank; newer posts win ties. Other columns of the
     posts are joined once the few posts are known."""
     order = [F.asc("combined_rank"), F.desc("timestamp_utc"), F.asc("post_id")]
