@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import BLOCK_ROWS
 from ..functions import numbers
-from ..operators import blocks, centroid_models, dbscan, hdbscan
+from ..operators import approximate, blocks, centroid_models, dbscan, hdbscan
 from ..operators.agglomerative import agglomerative, merge_table
 from ..plans import experiments, weekly
 from ..sources import fixtures as fx
@@ -68,6 +68,17 @@ def hdbscan_leaf(spark, sf):
     return hdbscan.hdbscan(_points(spark, sf), ["all"], "id", "vector", 5, 3, "leaf").drop("all")
 
 
+@query("d8_points_within_radius_approximate")
+def points_within_radius_approximate(spark, sf):
+    """The same by way of buckets of random projections; tests measure the recall."""
+    return approximate.approximate_near_counts(_points(spark, sf), ["all"], "id", "vector", _EPS, "cosine").drop("all")
+
+
+@query("j7_dbscan_approximate")
+def dbscan_approximate(spark, sf):
+    return approximate.approximate_dbscan(_points(spark, sf), ["all"], "id", "vector", _EPS, 5, "cosine").drop("all")
+
+
 # Density clusters of each class: the twin closes the minimax distances of a class over its points one by one and reads
 # components, clusters and their stability off them.
 _MIN_SIZE = 4

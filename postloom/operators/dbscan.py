@@ -52,7 +52,7 @@ def _local_roots(hit: np.ndarray) -> np.ndarray:
     return root
 
 
-def _link_kernel(eps: float, metric: str) -> blocks.Kernel:
+def link_kernel(eps: float, metric: str) -> blocks.Kernel:
     """Links that say which core points hang together in a pair of blocks, one per point at most, and the
     smallest core point within eps of each border point."""
 
@@ -122,7 +122,7 @@ def dbscan(
     core = _near_counts(blocked, eps, metric).select(*keys, "id", (F.col("near") >= min_points).alias("core"))
     marked = blocked.with_columns_of(cut(core))
     schema = f"u {kind}, v {kind}, core boolean, own boolean"
-    links = cut(blocks.run_on_pairs(marked, _link_kernel(eps, metric), schema, reach, carry=["core"]))
+    links = cut(blocks.run_on_pairs(marked, link_kernel(eps, metric), schema, reach, carry=["core"]))
 
     # Inside a block every core point has its root; between blocks only the roots are joined.
     inside = links.where("core AND own").select(*keys, F.col("u").alias("id"), F.col("v").alias("root"))
@@ -131,10 +131,14 @@ def dbscan(
         between = between.join(inside.select(*keys, F.col("id").alias(end), "root"), [*keys, end]).withColumn(end, F.col("root")).drop("root")
     found = connected_components(between.distinct(), keys).withColumnRenamed("id", "root")
     roots = inside.join(found, [*keys, "root"], "left").select(*keys, "id", F.coalesce("component", "root").alias("component"))
-    border = links.where(~F.col("core")).groupBy(*keys, "u").agg(F.min("v").alias("v"))
+    return labelled_members(copies, roots, links.where(~F.col("core")).select(*keys, "u", "v"), keys)
+
+
+def labelled_members(copies: blocks.Copies, roots: DataFrame, reached: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Clusters of all points from the component of each core point (keys, id, component) and the links of border points to core points (keys, u, v)."""
+    border = reached.groupBy(*keys, "u").agg(F.min("v").alias("v"))
     border = border.join(roots.withColumnRenamed("id", "v"), [*keys, "v"]).select(*keys, F.col("u").alias("id"), "component")
     labelled = roots.withColumn("is_core", F.lit(True)).unionByName(border.withColumn("is_core", F.lit(False)))
-
     numbers = number_components(roots, keys)
     return (
         copies.members.join(labelled, [*keys, "id"], "left").join(numbers, [*keys, "component"], "left")
