@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import BLOCK_ROWS
-from ..functions import numbers
+from ..functions import numbers, vectors
 from ..operators import approximate, blocks, centroid_models, dbscan, hdbscan
 from ..operators.agglomerative import agglomerative, merge_table
 from ..plans import experiments, weekly
@@ -178,6 +178,58 @@ def kmeans(spark, sf):
     return labels.groupBy("cluster").agg(F.count("*").alias("points")).withColumn("inertia", F.round(F.lit(inertia), 4))
 
 
+_TOTAL = """comps AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+mids AS (SELECT pos, avg(x) AS m FROM comps GROUP BY pos),
+total AS (SELECT sum((x - m) * (x - m)) AS squares, (SELECT count(*) FROM embeddings) AS points FROM comps JOIN mids USING (pos))"""
+
+
+@query("j4_kmeans_variance", S.with_(_TOTAL) + "SELECT 6 AS clusters, points, round(squares + 1e-9, 4) AS squares, true AS settled FROM total")
+def kmeans_variance(spark, sf):
+    """The inertia and the squares between the centroids add up to the squares of all vectors around their mean, and
+    every vector is nearest to the centroid of its own cluster: both hold only for a settled clustering and its inertia."""
+    points = _points(spark, sf)
+    labels, inertia = centroid_models.kmeans(points, "id", "vector", 6)
+    rows = labels.join(points.select("id", vectors.as_double(F.col("vector")).alias("vector")), "id")
+    centres = rows.groupBy("cluster").agg(F.count("*").alias("n"), vectors.mean_vector("vector").alias("centre"))
+    middle = rows.agg(vectors.mean_vector("vector").alias("middle"))
+    between = centres.crossJoin(middle).agg(
+        F.count("*").alias("clusters"), F.sum("n").alias("points"), F.sum(F.col("n") * vectors.squared_distance(F.col("centre"), F.col("middle"))).alias("between"))
+    own = rows.join(centres, "cluster").select("id", "vector", vectors.squared_distance(F.col("vector"), F.col("centre")).alias("own"))
+    every = centres.agg(F.collect_list("centre").alias("centres"))  # one for each cluster asked for
+    settled = own.crossJoin(every).agg(F.min(F.forall("centres", lambda c: vectors.squared_distance(F.col("vector"), c) >= F.col("own") - 1e-6)).alias("settled"))
+    return between.crossJoin(settled).select(
+        F.col("clusters").cast("int").alias("clusters"), "points", numbers.rounded(F.col("between") + F.lit(inertia), 4).alias("squares"), "settled")
+
+
+@query("j16_sweep_variance", S.with_(_TOTAL) + """
+SELECT k::INTEGER AS k, round(squares + 1e-9, 1) AS squares FROM total, range(2, 9) t(k)""")
+def sweep_variance(spark, sf):
+    """The same sum for every k of a sweep: the inertia of each k and what Calinski-Harabasz (which
+    is rounded) says of the squares between its clusters."""
+    points = _points(spark, sf)
+    n = points.count()
+    swept = centroid_models.k_sweep(points, "id", "vector", range(2, 9), starts=3)
+    ratio = F.col("calinski_harabasz") * (F.col("k") - 1) / (F.lit(n) - F.col("k"))
+    return swept.select("k", numbers.rounded(F.col("inertia") * (1 + ratio), 1).alias("squares"))
+
+
+@query("j5_mixture_moments", S.with_(_TOTAL) + """
+SELECT 4 AS components, round(1 + 1e-9, 6) AS weights, round((SELECT sum(m * m) FROM mids) + squares / points + 1e-9, 6) AS mean_square,
+  round((SELECT sum(m) FROM mids) + 1e-9, 6) AS mean_sum FROM total""")
+def mixture_moments(spark, sf):
+    """After a step of maximisation the weighted moments of the components are those of all vectors."""
+    rows = centroid_models.table_of(_points(spark, sf), "id", "vector")
+    fit = max(centroid_models.fit_mixtures(rows, 4, [42, 43], max_iter=20), key=lambda m: m.likelihood)
+    table = [(float(w), [float(x) for x in m], float(c.trace()) - len(m) * centroid_models.LEAST_VARIANCE)
+             for w, m, c in zip(fit.weights, fit.means, fit.covariances)]
+    parts = spark.createDataFrame(table, "weight double, mean array<double>, trace double")
+    square = vectors.dot(F.col("mean"), F.col("mean")) + F.col("trace")
+    return parts.agg(
+        F.count("*").cast("int").alias("components"), numbers.rounded(F.sum("weight"), 6).alias("weights"),
+        numbers.rounded(F.sum(F.col("weight") * square), 6).alias("mean_square"),
+        numbers.rounded(F.sum(F.col("weight") * F.aggregate("mean", F.lit(0.0), lambda a, x: a + x)), 6).alias("mean_sum"))
+
+
 @query("j5_gaussian_mixture")
 def gaussian_mixture(spark, sf):
     from ..operators.reduction import reduce_slices

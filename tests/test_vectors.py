@@ -261,3 +261,47 @@ def test_grid_and_comparison(spark):
     one = hdbscan(reduced, ["_all"], "id", "vector", 8, 5, "leaf").where("cluster >= 0").agg(F.countDistinct("cluster")).first()[0]
     cell = found.where("n_components = 3 AND min_cluster_size = 8 AND min_samples = 5 AND selection = 'leaf'").first()
     assert cell["n_clusters"] == one
+
+
+def test_mixtures_step_by_step(spark):
+    """Steps in shared scans against plain NumPy, and the likelihood against separate fits of Spark ML on the same rows."""
+    from pyspark.ml.clustering import GaussianMixture
+    from pyspark.ml.functions import array_to_vector
+
+    from postloom.operators import centroid_models as cm
+
+    x, _ = blobs(noise=0, copies=0, spread=1.5, dim=4, per=60)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id bigint, vector array<double>")
+    start = cm.Mixture(np.full(3, 1 / 3), x[:3].copy(), np.broadcast_to(np.eye(4) * 9, (3, 4, 4)).copy())
+    got = cm._mixture_step(df.repartition(5), {0: start})[0]
+    p = np.stack([
+        w * np.exp(-0.5 * np.einsum("nd,de,ne->n", x - m, np.linalg.inv(c), x - m)) / np.sqrt(np.linalg.det(2 * np.pi * c))
+        for w, m, c in zip(start.weights, start.means, start.covariances)], 1)
+    r = p / p.sum(1, keepdims=True)
+    means = (r.T @ x) / r.sum(0)[:, None]
+    assert abs(got.likelihood - np.log(p.sum(1)).sum()) < 1e-6
+    assert np.allclose(got.weights, r.mean(0)) and np.allclose(got.means, means)
+    for c in range(3):
+        assert np.allclose(got.covariances[c], (r[:, c] * (x - means[c]).T) @ (x - means[c]) / r[:, c].sum() + 1e-6 * np.eye(4), atol=1e-8)
+    fits = cm.fit_mixtures(df, 4, [42 + i for i in range(5)])
+    best = max(fits, key=lambda m: m.likelihood)
+    rows = df.select("id", array_to_vector("vector").alias("features")).coalesce(1).cache()
+    separate = max(GaussianMixture(k=4, seed=42 + i, maxIter=100, tol=1e-3).fit(rows).summary.logLikelihood for i in range(2))
+    rows.unpersist()
+    assert best.likelihood >= separate - 0.001 * abs(separate)  # optima of the same height
+    labels = cm.gaussian_mixture(df, "id", "vector", 4).toPandas().sort_values("id")["cluster"].to_numpy()
+    assert (labels == best.log_densities(x).argmax(1)).all()
+    assert cm.gaussian_mixture(df.where("false"), "id", "vector", 4).count() == 0
+
+
+def test_first_centres_see_every_row(spark):
+    """A few rows far from all others, far fewer than one in four thousand, get a centre of their own."""
+    from postloom.operators import centroid_models as cm
+
+    r = np.random.default_rng(4)
+    x = np.concatenate([r.normal(0, 1, (20_000, 3)) + np.repeat([[0, 0, 0], [9, 0, 0], [0, 9, 0], [0, 0, 9]], 5_000, 0), r.normal(0, 0.1, (3, 3)) + 80])
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id bigint, vector array<double>")
+    labels, inertia = cm.kmeans(df, "id", "vector", 5, starts=3)
+    sizes = sorted(n["count"] for n in labels.groupBy("cluster").count().collect())
+    assert sizes[0] == 3 and min(sizes[1:]) > 4_500
+    assert inertia < 3.2 * len(x)
