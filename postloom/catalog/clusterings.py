@@ -120,14 +120,26 @@ best AS (SELECT class, unnest(wins) AS wins, generate_subscripts(wins, 1) AS n F
 """
 
 
-def _density_sql(chosen: str) -> str:
+def _density_sql(chosen: str, result: str) -> str:
     return "WITH RECURSIVE " + _TREE + f"""won AS (SELECT i.class, i.p, n.n, n.w FROM inside i JOIN node n ON n.class = i.class AND n.n = i.n JOIN best b ON b.class = i.class AND b.n = i.n WHERE {chosen}),
 mine AS (SELECT class, p, arg_max(n, w) AS n, max(w) AS w FROM won GROUP BY class, p),
 first AS (SELECT class, n, min(p) AS p FROM mine GROUP BY class, n),
-number AS (SELECT class, n, row_number() OVER (PARTITION BY class ORDER BY p) - 1 AS cluster FROM first)
+number AS (SELECT class, n, row_number() OVER (PARTITION BY class ORDER BY p) - 1 AS cluster FROM first)""" + result
+
+
+_LABELS = """
 SELECT v.class, v.id, coalesce(c.cluster, -1)::INTEGER AS cluster, round(coalesce(least(1 / e.w, 1 / m.w) * m.w, 0) + 1e-9, 6) AS probability
 FROM v LEFT JOIN mine m ON m.class = v.class AND m.p = v.k LEFT JOIN number c ON c.class = m.class AND c.n = m.n LEFT JOIN enter e ON e.class = v.class AND e.p = v.k"""
 
+_SHARES = """,
+exemplar AS (SELECT m.class, c.cluster, e.p FROM node n JOIN meet t ON t.class = n.class AND t.p = n.root AND t.w <= n.w
+  JOIN enter e ON e.class = n.class AND e.p = t.q AND e.w = n.w JOIN mine m ON m.class = e.class AND m.p = e.p
+  JOIN number c ON c.class = m.class AND c.n = m.n WHERE n.leaf),
+nearest AS (SELECT d.class, d.p, x.cluster, greatest(min(CASE WHEN d.p = d.q THEN 0 ELSE d.d END), 1e-12) AS d
+  FROM d JOIN exemplar x ON x.class = d.class AND x.p = d.q GROUP BY d.class, d.p, x.cluster)
+SELECT v.class, v.id, n.cluster::INTEGER AS cluster, round(1 / n.d / sum(1 / n.d) OVER (PARTITION BY n.class, n.p) + 1e-9, 6) AS share
+FROM nearest n JOIN v ON v.class = n.class AND v.k = n.p"""
+
 
 @query("j3_spanning_tree_weight", "WITH RECURSIVE " + _MEET + """
 SELECT class, count(*) AS edges, round(sum(w) + 1e-9, 6) AS weight
@@ -156,7 +168,7 @@ def _density(spark, sf, selection, block_rows=BLOCK_ROWS):
     return found.select("class", "id", "cluster", numbers.rounded(F.col("probability"), 6).alias("probability"))
 
 
-@query("j3_hdbscan_per_class", _density_sql("b.wins"))
+@query("j3_hdbscan_per_class", _density_sql("b.wins", _LABELS))
 def hdbscan_per_class(spark, sf):
     """Clusters of each class by excess of mass."""
     return _density(spark, sf, "eom")
@@ -167,7 +179,7 @@ def hdbscan_per_class_many_blocks(spark, sf):
     return _density(spark, sf, "eom", 16)
 
 
-@query("j3_hdbscan_leaves_per_class", _density_sql("n.leaf AND n.next_w IS NOT NULL"))
+@query("j3_hdbscan_leaves_per_class", _density_sql("n.leaf AND n.next_w IS NOT NULL", _LABELS))
 def hdbscan_leaves_per_class(spark, sf):
     return _density(spark, sf, "leaf")
 
@@ -178,6 +190,13 @@ def kmeans(spark, sf):
     return labels.groupBy("cluster").agg(F.count("*").alias("points")).withColumn("inertia", F.round(F.lit(inertia), 4))
 
 
+@query("j20_soft_membership", _density_sql("b.wins", _SHARES))
+def soft_membership(spark, sf):
+    """Share of each cluster of a class in each of its vectors, by the nearest exemplars."""
+    graph = hdbscan.density_graph(_classes(spark, sf), ["class"], "id", "vector", 3)
+    return hdbscan.soft_membership(graph, _MIN_SIZE).withColumn("share", numbers.rounded(F.col("share"), 6))
+
+
 _TOTAL = """comps AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
 mids AS (SELECT pos, avg(x) AS m FROM comps GROUP BY pos),
 total AS (SELECT sum((x - m) * (x - m)) AS squares, (SELECT count(*) FROM embeddings) AS points FROM comps JOIN mids USING (pos))"""

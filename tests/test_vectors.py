@@ -152,6 +152,10 @@ def test_reduction(spark):
         assert np.allclose(np.abs(np.stack(part.sort_values("id")["vector"])), want, atol=1e-8)
     small = reduction.reduce_slices(frame(spark, x[:, :8]), ["slice"], "id", "vector", 5).toPandas()
     assert len(small["vector"].iloc[0]) == 8
+    holes = frame(spark, x).unionByName(spark.createDataFrame([("a", 900, None)], "slice string, id bigint, vector array<double>"))
+    assert reduction.reduce_slices(holes, ["slice"], "id", "vector", 5).count() == len(x)
+    with pytest.raises(ValueError):
+        reduction.reduce_slices(frame(spark, x).unionByName(frame(spark, x[:, :9])), ["slice"], "id", "vector", 5)
     p = reduction.pca(frame(spark, x), "id", "vector", 3)
     c = x - x.mean(0)
     s = np.linalg.svd(c, full_matrices=False)
