@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from cases import documents, frame, unique_ids, words
 from pyspark.sql import functions as F
 
@@ -58,43 +59,44 @@ def test_calibration():
     assert abs(langid.calibrated(3 * logits, drawn) - 3) < 0.4
 
 
-def brute_scores(rows):
+def brute_scores(rows, order):
     start, end = object(), object()
-    counts, pairs = Counter(), Counter()
+    padded = lambda t: [*[start] * (order - 1), *t, end]
+    counts, levels = Counter(), [Counter() for _ in range(order + 1)]
     for i, t in rows:
         if i is not None and zlib.crc32(str(i).encode()) % 10:
-            s = [start, *t, end]
-            counts.update(s[1:])
-            pairs.update(zip(s, s[1:]))
+            s = padded(t)
+            counts.update(s[order - 1:])
+            levels[order].update(tuple(s[j - order:j]) for j in range(order, len(s) + 1))
+    for k in range(order, 1, -1):
+        levels[k - 1].update(run[1:] for run in levels[k])
     n, v = sum(counts.values()), len(counts)
-    total, seen, after = Counter(), defaultdict(lambda: [0, 0, 0]), Counter()
-    for (a, b), c in pairs.items():
-        total[a] += c
-        seen[a][min(c, 3) - 1] += 1
-        after[b] += 1
-
-    def discounts(values):
-        k = [sum(x == j for x in values) for j in (1, 2, 3, 4)]
-        return (0.0, *kneser_ney._discounts(*k))
-
-    d, e = discounts(pairs.values()), discounts(after.values())
-    rest = sum(e[min(c, 3)] for c in after.values()) / len(pairs)
-
-    def q(w):
-        return max(after[w] - e[min(after[w], 3)], 0) / len(pairs) + rest / (v + 1)
-
-    def p(a, w):
-        if not total[a]:
-            return q(w)
-        c = pairs[a, w]
-        return max(c - d[min(c, 3)], 0) / total[a] + sum(x * y for x, y in zip(d[1:], seen[a])) / total[a] * q(w)
-
-    assert abs(sum(p(start, w) for w in counts) + sum(x * y for x, y in zip(d[1:], seen[start])) / total[start] * rest / (v + 1) - 1) < 1e-9
+    off, total, seen = [None], [None], [None]
+    for level in levels[1:]:
+        off.append((0.0, *kneser_ney._discounts(*(sum(x == j for x in level.values()) for j in (1, 2, 3, 4)))))
+        total.append(Counter())
+        seen.append(defaultdict(lambda: [0, 0, 0]))
+        for run, c in level.items():
+            total[-1][run[:-1]] += c
+            seen[-1][run[:-1]][min(c, 3) - 1] += 1
+
+    def p(run):
+        if not run:
+            return 1 / (v + 1)
+        k, below = len(run), p(run[1:])
+        if not total[k][run[:-1]]:
+            return below
+        c = levels[k][run]
+        return (max(c - off[k][min(c, 3)], 0) + sum(x * y for x, y in zip(off[k][1:], seen[k][run[:-1]])) * below) / total[k][run[:-1]]
+
+    for context in [(start,) * (order - 1), next(iter(levels[order]))[:-1]]:
+        assert abs(sum(p((*context, w)) for w in counts) + p((*context, None)) - 1) < 1e-9  # and one unseen word
     for i, t in rows:
-        s = [start, *t, end]
+        s = padded(t)
         yield (
-            i, len(t) + 1, sum(counts[w] > 0 for w in s[1:]), n, sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in s[1:]),
-            sum(math.log10(p(a, b)) for a, b in zip(s, s[1:])))
+            i, len(t) + 1, sum(counts[w] > 0 for w in s[order - 1:]), n,
+            sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in s[order - 1:]),
+            sum(math.log10(p(tuple(s[j - order:j]))) for j in range(order, len(s) + 1)))
 
 
 def close(got, want):
@@ -103,17 +105,28 @@ def close(got, want):
         assert g[:4] == w[:4] and abs(g[4] - w[4]) < 1e-6 * abs(w[4]) and abs(g[5] - w[5]) < 1e-6 * abs(w[5]), (g, w)
 
 
-def test_language_model(spark, monkeypatch):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_language_model(spark, monkeypatch, order):
     rows = documents()
-    want = list(brute_scores([(i, [w.lower() for w in words(t)]) for i, t, _ in rows]))
+    want = list(brute_scores([(i, [w.lower() for w in words(t)]) for i, t, _ in rows], order))
     for part, bucket in ((2_000_000, 16_000_000), (500, 3_000)):
         monkeypatch.setattr(kneser_ney, "PART_TOKENS", part)
-        found = kneser_ney.train(frame(spark, rows).where(~kneser_ney.held_out()), bucket_bytes=bucket)
-        assert bucket > 10_000 or (found.layout.buckets > 10 and len(found.layout.frequent))
+        found = kneser_ney.train(frame(spark, rows).where(~kneser_ney.held_out()), bucket_bytes=bucket, order=order)
+        assert bucket > 10_000 or found.buckets > 10
         got = kneser_ney.score(frame(spark, rows), found, [("doc_id", "long")]).collect()
         close([(r.doc_id, r.n_tokens, r.n_known, found.tokens, r.base_score, r.score) for r in got], want)
 
 
+def test_language_model_with_a_lost_file(spark):
+    rows = frame(spark, documents())
+    found = kneser_ney.train(rows)
+    found.folder += "-elsewhere"
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        kneser_ney.score(rows, found, [("doc_id", "long")]).collect()
+    with pytest.raises(ValueError):
+        kneser_ney.train(rows, order=1)
+
+
 def test_language_model_without_texts(spark):
     none = frame(spark, documents()).where("false")
     assert kneser_ney.scored_documents(none).count() == 0
