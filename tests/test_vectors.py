@@ -1,5 +1,7 @@
 """Vector operators against plain NumPy on small input, in one block and in many."""
 
+import math
+
 import numpy as np
 import pytest
 from helpers import blobs, brute_dbscan, distance_matrix
@@ -163,9 +165,13 @@ def test_reduction(spark):
     assert np.allclose(p.explained, (s[1] ** 2 / (s[1] ** 2).sum())[:3])
 
 
-def test_truncated_svd(spark):
+@pytest.mark.parametrize("part_entries", [5_000_000, 60])
+def test_truncated_svd(spark, monkeypatch, part_entries):
     from postloom.operators import reduction
 
+    monkeypatch.setattr(reduction, "PART_ENTRIES", part_entries)
+    monkeypatch.setattr(reduction, "_CHUNK_TERMS", 256 if part_entries > 60 else 7)
+
     rng = np.random.default_rng(2)
     a = np.abs(rng.normal(size=(60, 25))) * (rng.random((60, 25)) < 0.3)
     a[:, 0] = 1.0
@@ -176,6 +182,13 @@ def test_truncated_svd(spark):
     have = np.stack(got.rows.toPandas().sort_values("id")["vector"])
     assert np.allclose(np.abs(have), np.abs(want), atol=1e-3)
     assert np.allclose(got.explained, want.var(0) / a.var(0).sum(), atol=1e-4)
+    # Two directions only, though more are asked for.
+    few = [(i, t, w * (i + 1)) for i in range(9) for t, w in ((("x", 1.0), ("y", 2.0)) if i % 2 else (("z", 3.0),))]
+    got = reduction.truncated_svd(spark.createDataFrame(few, "id bigint, term string, weight double"), "id", 3)
+    have = {r.id: r.vector for r in got.rows.collect()}
+    assert all(len(v) == 2 and math.isclose(sum(c * c for c in v), (5 if i % 2 else 9) * (i + 1) ** 2) for i, v in have.items())
+    none = reduction.truncated_svd(spark.createDataFrame([], "id bigint, term string, weight double"), "id", 3)
+    assert none.rows.count() == 0 and none.explained == []
 
 
 def brute_agglomerative(x, k, linkage):
