@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEAD, GAP, PART, END = "### ", ": ", "</part>", "</turn>\n"
+#: Pieces whose spans are listed together.
+STRETCH = 256
 ESCAPES = {"\\": "\\b", "#": "\\h", "<": "\\l", ":": "\\c"}
 
 
@@ -70,11 +72,21 @@ def format_conversations(
             F.when(p["loss"], F.concat(done["spans"], here)).otherwise(done["spans"]).alias("spans"),
         )
 
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
+    def nothing(at: Column, kind: str) -> Column:
+        return F.struct(at.alias("at"), F.array().cast(kind).alias("spans"))
+
+    def stretch(done: Column, i: Column) -> Column:
+        """The spans of some neighbouring pieces, listed apart, so that no list grows with the conversation while it is copied."""
+        here = F.slice("pieces", i * STRETCH + 1, F.lit(STRETCH))
+        return F.aggregate(here, nothing(done["at"], f"array<{span}>"), step, lambda own: F.struct(
+            own["at"].alias("at"), F.concat(done["spans"], F.array(own["spans"])).alias("spans")))
+
+    stretches = F.sequence(F.lit(0), F.floor((F.size("pieces") - 1) / STRETCH).cast("int"))
+    spans = F.aggregate(stretches, nothing(F.lit(0).cast("long"), f"array<array<{span}>>"), stretch, lambda done: F.flatten(done["spans"]))
     return pieces.select(
         conversation,
         F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], p["tail"])), "").alias("formatted"),
-        F.aggregate("pieces", empty, step, lambda done: done["spans"]).alias("loss_mask"),
+        spans.alias("loss_mask"),
     )
 
 

@@ -1,7 +1,8 @@
 """HTML as a tree of blocks, made to stand broken markup.
 
 Nodes are block elements and, below them, runs of text without a block boundary inside. Inline elements are not nodes; links
-are remembered for the share of a run's characters inside them. Scripts, styles, comments and form controls give no text.
+are remembered for the share of a run's characters inside them. Scripts, styles, comments, drawings and form controls give no text;
+formulas are text.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset"
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead"
     " tr ul caption".split())
-SILENT = frozenset("script style template noscript textarea title svg math iframe object select button head option canvas video audio".split())
-RAW = frozenset("script style textarea title iframe noscript template svg math select canvas video audio object".split())
+RAW = frozenset("script style textarea title iframe noscript template svg select canvas video audio object".split())
+#: Without an end these hold the rest of the page; another one without an end is taken as not there, so that nothing after it is lost.
+ENDLESS = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("hr br img input meta link base area col embed source track wbr param".split())
 #: An opening element ends an open one of these, if no element of the second set stands between.
 _ENDS = {
@@ -94,7 +96,7 @@ def parse(source: str) -> list[Node]:
         if tag in RAW and not closing:
             if not rest.rstrip().endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\s*/?>", re.IGNORECASE).search(source, at)
-                at = end.end() if end else size
+                at = end.end() if end else size if tag in ENDLESS else at
             run.append((" ", False))
         elif tag == "a":
             link_depth = 0 if closing else len(stack)

@@ -86,6 +86,22 @@ def test_broken_markup():
     assert [n.text for n in nodes if not n.tag] == ["a", "b c", "d", "e f", "g", "h", "i", "k"]
 
 
+def test_elements_without_an_end():
+    text = lambda source: [n.text for n in dom.parse(source) if not n.tag]
+    for tag in ("svg", "select", "object", "video", "audio", "canvas", "template", "math"):
+        assert text(f"<div><p>One <{tag}>two</p><p>three</p></div><p>four") == ["One two", "three", "four"], tag
+        assert text(f"<p>One <{tag}/>two</p><p>three") == ["One two", "three"], tag
+    assert text("<p>Let <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> be</p><p>so <svg><text>no</text></svg>it is") == ["Let x = 2 be", "so it is"]
+    assert text("<p>One</p><script>two</p><p>three") == ["One"]
+
+
+def test_long_conversation_in_bounded_steps(spark):
+    rows = [(7, t, "assistant" if t % 3 else "user", f"t{t}") for t in range(20_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    row = chat.format_conversations(df).first()
+    assert [row.formatted[s.start : s.start + s.length] for s in row.loss_mask] == [r[3] for r in rows if r[2] == "assistant"]
+
+
 def digests(turns):
     """What the contract says, straight from the rows."""
     said = "".join(f"{role or ''}\n{text or ''}\n" for _, role, text in turns)
