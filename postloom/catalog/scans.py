@@ -9,7 +9,7 @@ from ..functions import text
 from ..session import scratch_path
 from ..sources import files, fixtures as fx, schemas, store
 from . import _sql as S
-from . import query
+from . import query, sql_of
 from ._frames import stamp, stamped, vector_text
 
 _STORED_NICHES = ("click", "view")
@@ -196,6 +196,18 @@ def upsert_embeddings(spark, sf):
     return spark.read.schema(vecs.schema).parquet(path).select("post_id", "niche", vector_text("embedding"))
 
 
+@query("a8_upsert_buckets", sql_of("a8_upsert_embeddings"))
+def upsert_into_buckets(spark, sf):
+    """The same into a table dealt by key, of which a batch reads and writes its own buckets only."""
+    vecs = fx.post_embeddings(spark, sf)
+    path = scratch_path(spark, "embedding-buckets")
+    store.write_bucketed(vecs.where(F.col("niche").isin(*_STORED_NICHES)), path, ["post_id"], 16)
+    batch = vecs.withColumns({"niche": F.lit("other"), "embedding": F.transform("embedding", lambda x: -x)})
+    stored = spark.read.schema(f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in vecs.schema)}, {store.BUCKET} int").parquet(path)
+    store.upsert_bucketed(stored, batch, ["post_id"], ["embedding"], [F.asc("niche")], path, 16)
+    return spark.read.schema(vecs.schema).parquet(path).select("post_id", "niche", vector_text("embedding"))
+
+
 @query("a9_versioned_assignments", S.with_(S.CLUSTERED, _ASSIGNMENTS) + """
 SELECT niche, cluster_id, cluster_version, count(*) AS posts FROM assignments GROUP BY ALL""")
 def versioned_assignments(spark, sf):

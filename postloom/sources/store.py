@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import first_rows, null_safe_join
-from ..session import cut
+from ..session import cut, discard
+
+#: Column of the folder a row of a table dealt by key lies in.
+BUCKET = "key_bucket"
 
 
 # Reads -----------------------------------------------------------------------------------------------
@@ -145,3 +148,32 @@ def upsert(
     touched = cut(held.unionByName(fresh.select(*partition_by)).distinct())
     old = null_safe_join(stored, touched, list(partition_by), "left_semi")
     overwrite_partitions(cut(upserted(old, fresh, keys, replaced, order)), path, partition_by)
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """Where a row lies in a table dealt by key; a null is a key value like any other."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """A table whose folders are ranges of key hashes, for `upsert_bucketed`. `buckets` belongs to the table."""
+    dealt = df.withColumn(BUCKET, bucket_of(keys, buckets))
+    dealt.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+
+def upsert_bucketed(
+    stored: DataFrame, incoming: DataFrame, keys: Sequence[str], replaced: Sequence[str], order: Sequence[Column], path: str, buckets: int
+) -> None:
+    """`upserted` into the files of `write_bucketed` that `stored` reads. A batch meets only its own buckets: the others are
+    neither read nor written.
+
+    The batch says which buckets change; these are at most `buckets` numbers, which become a filter on folders.
+    """
+    columns = [c for c in stored.columns if c != BUCKET]
+    fresh = cut(first_rows(incoming, keys, order).select(*columns, bucket_of(keys, buckets)))
+    touched = [r[BUCKET] for r in fresh.select(BUCKET).distinct().collect()]
+    old = stored.where(F.col(BUCKET).isin(touched)).select(*columns)
+    # Made durable first, since a write would otherwise delete files that a retried task still has to read.
+    new = cut(upserted(old, fresh.select(*columns), keys, replaced, order))
+    overwrite_partitions(new.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET), path, [BUCKET])
+    discard(fresh, new)

@@ -1,6 +1,8 @@
 """Ranks in large groups, stored tables, files and streams on small input."""
 
+import glob
 import json
+import os
 
 import numpy as np
 import pytest
@@ -61,6 +63,32 @@ def test_store(spark):
     assert [r["post_id"] for r in store.rows_to_insert(old, new, [F.asc("niche")]).collect()] == ["3"]
 
 
+def test_upsert_reads_its_own_buckets_only(spark):
+    path, schema = scratch_path(spark, "dealt"), "post_id string, niche string, embedding array<float>"
+    old = [(f"p{i}", "a", [float(i)]) for i in range(40)] + [(None, "a", [1.0])]
+    store.write_bucketed(spark.createDataFrame(old, schema), path, ["post_id"], 8)
+    batch = spark.createDataFrame([("p3", "b", [0.5]), ("p3", "c", [0.7]), ("new", "b", [9.0])], schema)
+    meant = {r[0] for r in batch.select(store.bucket_of(["post_id"], 8)).collect()}
+    kept = {}
+    for folder in glob.glob(f"{path}/{store.BUCKET}=*"):
+        if int(folder.rpartition("=")[2]) not in meant:
+            for file in glob.glob(f"{folder}/*.parquet"):  # whoever reads these gets an error
+                kept[file] = open(file, "rb").read()
+                open(file, "wb").write(b"no parquet")
+    assert kept and len(meant) <= 2
+    stored = spark.read.schema(f"{schema}, {store.BUCKET} int").parquet(path)
+    store.upsert_bucketed(stored, batch, ["post_id"], ["embedding"], [F.asc("niche")], path, 8)
+    for file, content in kept.items():
+        assert open(file, "rb").read() == b"no parquet"
+        open(file, "wb").write(content)
+        crc = f"{os.path.dirname(file)}/.{os.path.basename(file)}.crc"
+        assert os.path.exists(crc)
+    spark.catalog.refreshByPath(path)
+    got = {(r.post_id, r.niche, r.embedding[0]) for r in spark.read.schema(schema).parquet(path).collect()}
+    want = {(i, n, v[0]) for i, n, v in old if i != "p3"} | {("p3", "a", 0.5), ("new", "b", 9.0)}
+    assert got == want
+
+
 def test_upsert_leaves_other_partitions_alone(spark):
     old = spark.createDataFrame([(str(i), "abcd"[i % 4], [float(i)]) for i in range(40)], schemas.EMBEDDINGS)
     path = scratch_path(spark, "u")
