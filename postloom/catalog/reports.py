@@ -123,6 +123,32 @@ def prompts(spark, sf):
     return weekly.prompts(weekly.cluster_contexts(posts), labels)
 
 
+@query("b28_prompt_frames", _CONTEXT_HEAD + f"""
+SELECT niche, week_year, week_number, week_label, n_trends, clusters,
+  'You describe what a community keeps coming back to. The community is r/' || niche || ', the time ' || week_label || '.' || chr(10) || chr(10) ||
+  'A trend is a pattern over many posts, not one event.' AS opening,
+  n_trends || ' trend(s), one per cluster, in the order above. For each: a title of at most ten words; a description of three sentences ' ||
+  '(the pattern, why it recurs, what it signals); the companies, products and people in it; the sentiment; one sentence on why it matters; ' ||
+  'two or three links from the posts above.' || chr(10) || 'Answer with JSON only, in this shape, with exactly ' || n_trends || ' object(s) in trends:' || chr(10) ||
+  '{{"niche": "' || niche || '", "trends": [{{"rank": 1, "title": "", "description": "", "key_entities": {{"companies": [], "products": [], "people": []}}, ' ||
+  '"sentiment": "positive|negative|mixed", "importance": "", "references": []}}]}}' AS closing
+FROM (SELECT niche, week_year, week_number, count(*) AS n_trends, string_agg(CAST(cluster AS VARCHAR), ',' ORDER BY cluster_rank) AS clusters
+  FROM top3 GROUP BY niche, week_year, week_number)
+JOIN (SELECT niche, week_year, week_number, {_LABEL_SQL} AS week_label FROM gated GROUP BY niche, week_year, week_number)
+  USING (niche, week_year, week_number)""")
+def prompt_frames(spark, sf):
+    """What stands around the contexts of a prompt, and which clusters it holds in which order."""
+    posts = _posts(spark, sf, with_text=True)
+    labels = weekly.slice_facts(posts).select(*agg.SLICE, "week_label")
+    asked = weekly.prompts(weekly.cluster_contexts(posts), labels)
+    return asked.select(
+        *agg.SLICE, "week_label", "n_trends",
+        F.array_join(F.regexp_extract_all("prompt", F.lit("--- CLUSTER (-?[0-9]+) ---"), 1), ",").alias("clusters"),
+        F.substring_index("prompt", "\n\nCLUSTERS\n", 1).alias("opening"),
+        F.substring_index("prompt", "\n\nWrite exactly ", -1).alias("closing"),
+    )
+
+
 @query("b30_headlines", _RESULTS + "SELECT niche, week_year, week_number, headline FROM results JOIN trends USING (niche, week_year, week_number)")
 def headlines(spark, sf):
     return _results(spark, sf).select(*agg.SLICE, text.trend_headline(F.col("trends")).alias("headline"))
