@@ -87,3 +87,24 @@ def test_replies(spark):
     trend = got[0].t[0]
     assert trend.sentiment == "mixed" and trend.importance == "" and trend.references == []
     assert trend.key_entities.companies == [] and trend.title == "T"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_terms_and_phrases_are_not_dealt_by_document(spark):
+    """Texts are dealt by their id; terms and phrases, many times as much, are only dealt once they are counted for all documents."""
+    from postloom.operators import keywords as kw
+
+    rows = [(i, i % 2, "Red apples taste good with red wine") for i in range(6)] + [(5, 1, "red apples again"), (None, 0, "Red apples taste")]
+    df = spark.createDataFrame(rows, "doc_id long, cluster int, text string")
+    phrases = kw.recurring_phrases(df, ["cluster"], "text", "doc_id", 100, [])
+    weights = kw.tfidf(df, "doc_id", "text", min_df=1, max_df=1.0, stop_words=[])
+    counts = kw._term_counts(df, ["doc_id"], "doc_id", "text", 2, [])
+    for plan, name in ((_plan(phrases), "phrase"), (_plan(counts), "term")):
+        assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "doc_id" in line and name in line.split("hashpartitioning")[1]]
+    found = {(r["cluster"], r["phrase"]): (r["uses"], r["titles"]) for r in phrases.collect()}
+    assert found[0, "red apples"] == (4, 4) and found[1, "red apples"] == (4, 3)
+    lengths = weights.groupBy("doc_id").agg({"weight": "max", "term": "count"}).collect()
+    assert len(lengths) == 7
