@@ -50,9 +50,9 @@ def profile(df: DataFrame, *keys: str) -> DataFrame:
 
 def slice_gate(df: DataFrame, min_posts: int, keys: Sequence[str] = SLICE) -> DataFrame:
     """Rows of the slices with at least `min_posts` rows. The count is an aggregate joined back, not a
-    window: a window would hold a whole slice in one task."""
+    window: a window would hold a whole slice in one task. Slices are few, so rows, which may hold texts or vectors, stay where they are."""
     large_enough = df.groupBy(*keys).count().where(F.col("count") >= min_posts).drop("count")
-    return df.join(large_enough, list(keys), "left_semi")
+    return df.join(F.broadcast(large_enough), list(keys), "left_semi")
 
 
 def cluster_stats(df: DataFrame, keys: Sequence[str] = SLICE, keep_noise: bool = False) -> DataFrame:

@@ -18,6 +18,8 @@ from ..sources import schemas
 
 SLICE = agg.SLICE
 CLUSTER = [*SLICE, "cluster"]
+#: Characters of a title in the list of a context.
+TITLE_CHARS = 120
 
 
 def clustered_posts(posts: DataFrame, embeddings: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -54,7 +56,7 @@ def _post_lines(top_posts: DataFrame) -> DataFrame:
     head = F.concat(
         F.lit("  "), F.col("position").cast("string"), F.lit(". [Score: "), F.format_number(F.floor("score"), 0),
         F.lit(" | Comments: "), F.format_number(F.floor("num_comments"), 0), F.lit(" | Prob: "),
-        numbers.fixed(F.col("probability"), 2), F.lit("] "), text.cut_to(F.col("title"), 120),
+        numbers.fixed(F.col("probability"), 2), F.lit("] "), text.cut_to(F.col("title"), TITLE_CHARS),
     )
     link = F.when(F.col("permalink").isNotNull(), F.concat(F.lit("\n     URL: "), F.col("permalink")))
     lines = top_posts.select(*CLUSTER, "position", F.concat(head, F.coalesce(link, F.lit(""))).alias("_line"))
@@ -71,7 +73,7 @@ def cluster_contexts(
     clusters are read for text, and every part is an aggregate per cluster before it is joined.
     """
     top = agg.top_clusters(agg.cluster_stats(posts), settings.top_clusters).select(*CLUSTER, "cluster_rank")
-    mine = posts.join(top.select(*CLUSTER), CLUSTER, "left_semi")
+    mine = posts.join(F.broadcast(top.select(*CLUSTER)), CLUSTER, "left_semi")  # few for each slice, and texts stay where they are
     means = mine.groupBy(*CLUSTER).agg(
         F.count("*").alias("n"), F.avg("score").alias("s"), F.avg("num_comments").alias("c"), F.avg("upvote_ratio").alias("u")
     )
@@ -81,7 +83,8 @@ def cluster_contexts(
     )
     mood = kw.sentiment(mine, CLUSTER, "title")
     entities = _entity_block(kw.entity_counts(mine, CLUSTER, "title", gazetteer, settings.top_entities))
-    listed = _post_lines(ranking.representative_posts(mine, CLUSTER, settings.top_posts))
+    shown = mine.withColumn("title", text.cut_to(F.col("title"), TITLE_CHARS))  # before the join that looks the posts up
+    listed = _post_lines(ranking.representative_posts(shown, CLUSTER, settings.top_posts))
 
     def line(label: str, value: Column) -> Column:
         return F.concat(F.lit(label), value)

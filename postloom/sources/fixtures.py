@@ -45,20 +45,23 @@ def posts(spark: SparkSession, sf_dir: str, with_text: bool = False, with_ratio:
         F.col("ts").alias("timestamp_utc"),
         (F.col("event_id") % _size(documents)).alias("doc_id"),
     )
-    if with_text:
-        out = out.join(
-            documents.select(
-                "doc_id",
-                F.col("text").alias("full_text"),
-                F.when(F.col("lang") == "en", F.col("text")).alias("text_translated"),
-                text.first_line(F.col("text")).alias("title"),
-            ),
-            "doc_id",
-        )
     if with_ratio:
         labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("upvote_ratio"))
         out = out.join(labels, "doc_id", "left")
-    return out
+    return with_texts(spark, sf_dir, out) if with_text else out
+
+
+def with_texts(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """Add the texts of the document of each post. The last of the joins, so that no other one moves texts."""
+    return df.join(
+        table(spark, sf_dir, "documents").select(
+            "doc_id",
+            F.col("text").alias("full_text"),
+            F.when(F.col("lang") == "en", F.col("text")).alias("text_translated"),
+            text.first_line(F.col("text")).alias("title"),
+        ),
+        "doc_id",
+    )
 
 
 def with_weeks(df: DataFrame) -> DataFrame:
@@ -95,10 +98,11 @@ def given_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clustered_posts(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
     """Posts with week key, clean numbers and the given cluster and probability."""
     vecs = table(spark, sf_dir, "embeddings")
-    base = with_numbers(with_weeks(posts(spark, sf_dir, with_text=with_text)))
-    return base.withColumn("vec_id", F.col("post_id").cast("bigint") % _size(vecs)).join(
+    base = with_numbers(with_weeks(posts(spark, sf_dir)))
+    out = base.withColumn("vec_id", F.col("post_id").cast("bigint") % _size(vecs)).join(
         given_clusters(spark, sf_dir), "vec_id"
     )
+    return with_texts(spark, sf_dir, out) if with_text else out
 
 
 def post_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,3 +108,24 @@ def test_terms_and_phrases_are_not_dealt_by_document(spark):
     assert found[0, "red apples"] == (4, 4) and found[1, "red apples"] == (4, 3)
     lengths = weights.groupBy("doc_id").agg({"weight": "max", "term": "count"}).collect()
     assert len(lengths) == 7
+
+
+def test_texts_of_posts_join_last(spark, tmp_path):
+    """No join but that with the documents moves texts."""
+    import datetime
+
+    from postloom.sources import fixtures as fx
+
+    now = datetime.datetime(2024, 1, 3)
+    tables = {
+        "events": ([(i, now, i, "view", 1.0, '{"k": 2}') for i in range(8)], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+        "documents": ([(i, f"title {i}\nbody", "en", "s", 9) for i in (0, 1, 1, 2)], "doc_id long, text string, lang string, source string, n_chars long"),
+        "embeddings": ([(i, [1.0, float(i)], i % 2) for i in range(4)], "vec_id long, embedding array<float>, label int"),
+        "labels": ([(1, 3, 0)], "doc_id long, quality int, toxic int"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    posts = fx.clustered_posts(spark, str(tmp_path), with_text=True)
+    joins = [line for line in posts._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert "doc_id" in joins[0] and "Inner" in joins[0] and any("vec_id" in j for j in joins[1:])
+    assert posts.count() == 8  # ids 0-3 of documents: 3 has none, 1 has two rows
