@@ -125,6 +125,29 @@ def brute_metrics(x, y):
     return np.mean(sil), ch, ((s[:, None] + s[None, :]) / m).max(1).mean()
 
 
+@pytest.mark.parametrize("block_rows,bundle", [(1000, 256), (40, 256), (40, 6)])
+def test_clusterings_of_the_same_vectors_share_distances(spark, monkeypatch, block_rows, bundle):
+    """Bundled clusterings have the silhouettes that each has by itself; noise, ids that come twice and single points included."""
+    from postloom.operators import metrics
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(120, 3))
+    rows = []
+    for k in range(1, 6):
+        labels = rng.integers(-1, k, 120)
+        labels[3] = 90  # alone
+        for i, (v, c) in enumerate(zip(x.tolist(), labels.tolist())):
+            rows += [("a", k, 8 if i == 7 else i, v, c)] * (2 if i % 30 == 0 else 1)
+    df = spark.createDataFrame(rows, "space string, k int, id bigint, vector array<double>, cluster int")
+    monkeypatch.setattr(metrics, "BUNDLE_CLUSTERS", bundle)
+    order = ["k", "id", "cluster"]
+    by_itself = metrics.silhouette_samples(df, ["space", "k"], "id", "vector").toPandas().sort_values(order)
+    for keys, given in ((["space", "k"], df), (["k"], df.drop("space"))):
+        together = metrics.silhouette_samples(given, keys, "id", "vector", block_rows=block_rows, shared=["k"]).toPandas().sort_values(order)
+        assert together[order].values.tolist() == by_itself[order].values.tolist()
+        assert np.allclose(together["silhouette"], by_itself["silhouette"], atol=1e-7)
+
+
 @pytest.mark.parametrize("block_rows", [1000, 30])
 def test_metrics(spark, block_rows):
     from postloom.operators import metrics
@@ -235,6 +258,23 @@ def test_agglomerative_ties_do_not_depend_on_blocks(spark, linkage):
     assert len({r["cluster"] for r in found[0]}) == 7
 
 
+def test_steps_of_all_settings_run_on_all_cores(spark):
+    """Rows of a small file are dealt before the steps, and the shared sums are those of each setting by itself."""
+    from postloom.operators import centroid_models as cm
+
+    x = np.random.default_rng(2).normal(size=(1500, 4))
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(x.tolist())], "id bigint, vector array<double>").coalesce(1)
+    rows = cm.table_of(df, "id", "vector")
+    assert len(rows.inputFiles()) == spark.sparkContext.defaultParallelism
+    centres = {0: x[:3], 1: x[3:8]}
+    for i, (sums, sizes, inertia) in cm._pass(rows, centres).items():
+        d = ((x[:, None] - centres[i][None]) ** 2).sum(2)
+        best = d.argmin(1)
+        assert np.allclose(sums, [x[best == c].sum(0) for c in range(len(centres[i]))])
+        assert sizes.tolist() == [(best == c).sum() for c in range(len(centres[i]))]
+        assert abs(inertia - d.min(1).sum()) < 1e-6
+
+
 def test_methods_find_blobs(spark):
     from postloom.operators import centroid_models, metrics
 
