@@ -289,6 +289,8 @@ def visit(
     `reach`, a Euclidean distance, and of which they want to know anything. A tile with many visitors gets them in groups of about `VISITORS`.
     """
     keys = list(blocked.keys)
+    # Both sides of a cogroup are dealt by the hash of its keys, which differs between types.
+    visits = visits.withColumn("tile", F.col("tile").cast(blocked.points.schema["tile"].dataType))
     groups = visits.groupBy(*keys, "tile").agg(F.ceil(F.count("*") / F.lit(VISITORS)).cast("int").alias("_groups"))
     dealt = visits.join(groups, [*keys, "tile"]).withColumn("_group", F.pmod(F.xxhash64("id", F.lit(11)), F.col("_groups")).cast("int"))
     coming = dealt.drop("_groups").join(growing(visitors), [*keys, "id"])
