@@ -258,6 +258,19 @@ def test_agglomerative_ties_do_not_depend_on_blocks(spark, linkage):
     assert len({r["cluster"] for r in found[0]}) == 7
 
 
+def test_only_the_first_round_of_a_linkage_compares_all_pairs(spark, monkeypatch):
+    """Later rounds look again only for clusters whose nearest one was merged, with the same history as one task has."""
+    from postloom.operators import agglomerative, blocks
+
+    calls, all_pairs = [], blocks.run_on_pairs
+    monkeypatch.setattr(blocks, "run_on_pairs", lambda *a, **k: calls.append(1) or all_pairs(*a, **k))
+    x = np.random.default_rng(5).normal(size=(48, 3))
+    df = spark.createDataFrame([("s", i, v, 1) for i, v in enumerate(x.tolist())], "slice string, id long, vector array<double>, n long")
+    found = [sorted(map(tuple, agglomerative.merge_table(df, ["slice"], "ward", b).collect())) for b in (1000, 12)]
+    assert found[0] == found[1] and len(found[0]) == 47
+    assert len(calls) == 1
+
+
 def test_steps_of_all_settings_run_on_all_cores(spark):
     """Rows of a small file are dealt before the steps, and the shared sums are those of each setting by itself."""
     from postloom.operators import centroid_models as cm
