@@ -30,7 +30,7 @@ SELECT post_id, niche, title, author, CAST(floor(score) AS INTEGER) AS score, up
 def csv_scan(spark, sf):
     """An empty field of the file reads as null."""
     path = scratch_path(spark, "posts-csv")
-    files.write_csv(_csv_posts(spark, sf), path)
+    files.write_csv(_csv_posts(spark, sf), path, "gzip")
     rows = files.read_posts_csv(spark, path)
     return stamped(rows, "timestamp_utc").withColumns({c: F.md5(c) for c in ("full_text", "text_translated")})
 

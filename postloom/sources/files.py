@@ -22,9 +22,9 @@ def read_posts_csv(spark: SparkSession, path: str, schema: str = schemas.POSTS)
     return spark.read.schema(schema).options(**_CSV).option("multiLine", "true").csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV table or report with a header row."""
-    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """CSV table or report with a header row. A file of many lines is read whole in any case, so large ones may be compressed."""
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "compression": compression}
     df.write.mode("overwrite").options(**_CSV, **keep).csv(path)
 
 
