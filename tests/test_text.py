@@ -129,3 +129,20 @@ def test_texts_of_posts_join_last(spark, tmp_path):
     joins = [line for line in posts._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
     assert "doc_id" in joins[0] and "Inner" in joins[0] and any("vec_id" in j for j in joins[1:])
     assert posts.count() == 8  # ids 0-3 of documents: 3 has none, 1 has two rows
+
+
+def test_text_vectors_do_not_shuffle_common_terms(spark, monkeypatch):
+    """Whichever terms are broadcast, the vectors are the same: ids come twice, a text is missing. No shuffle deals the terms of a document."""
+    import numpy as np
+    from postloom.operators import reduction
+
+    rows = [(i % 20, f"alpha beta word{i % 3} gamma word{i} alpha") for i in range(30)] + [(99, None), (98, "the of")]
+    df = spark.createDataFrame(rows, "id bigint, t string").repartition(3)
+    found = []
+    for terms in (1, 5, 100_000):
+        monkeypatch.setattr(reduction, "COMMON_TERMS", terms)
+        out = reduction.hashed_vectors(df, "id", "t", 16)
+        assert "hashpartitioning(id#" in (plan := out._jdf.queryExecution().executedPlan().toString())
+        assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(id" in line and ", term#" in line]
+        found.append(sorted((r["id"], [round(x, 6) for x in r["embedding"]]) for r in out.collect()))
+    assert len(found[0]) == 32 and all(np.allclose([v for _, v in f], [v for _, v in found[0]], atol=1e-5) for f in found)
